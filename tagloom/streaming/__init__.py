@@ -1,0 +1 @@
+"""Every job of this engine is a batch job; there is no streaming operator to provide."""
