@@ -134,21 +134,25 @@ def priority(tables: Tables) -> DataFrame:
 
 
 def browse_hours(tables: Tables) -> DataFrame:
-    """Parsed ``(user,item,hours)`` lines; rows that do not parse are dropped."""
+    """Parsed ``(user,item,hours)`` lines; rows that do not parse are dropped.
+
+    A third part implies the first two, so only the hours and the user are tested.
+    """
     line = F.translate("line", "()", "")
     parts = tables("browse_hours").select(F.split(line, ",").alias("part"))
     parsed = parts.select(
-        F.get("part", 0).alias("user_id"),
-        F.get("part", 1).alias("item_code"),
-        F.get("part", 2).try_cast("bigint").alias("hours"),
+        F.get("part", F.lit(0)).alias("user_id"),
+        F.get("part", F.lit(1)).alias("item_code"),
+        F.get("part", F.lit(2)).try_cast("bigint").alias("hours"),
     )
-    return drop_missing(valid_users(parsed), "hours")
+    return parsed.filter(F.col("hours").isNotNull() & (F.trim("user_id") != ""))
 
 
 def browse_hour(tables: Tables) -> DataFrame:
     """Browse hours per line of the hand-off file; no aggregation."""
-    hours = drop_missing(browse_hours(tables), "item_code")
-    return hours.select("user_id", "item_code", F.col("hours").alias("browse_hour"))
+    return browse_hours(tables).select(
+        "user_id", "item_code", F.col("hours").alias("browse_hour")
+    )
 
 
 def browse_hour_tag(tables: Tables) -> DataFrame:

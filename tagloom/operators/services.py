@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.exprs import drop_missing, truncated_mean, valid_users, whole_amount
-from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows, usages
+from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows
 
 
 def order_users(tables: Tables, *columns: str) -> DataFrame:
@@ -58,14 +58,18 @@ def average_amount_tag(tables: Tables, table: str, name: str, item: str | None =
 
 
 def cip_use_lines(tables: Tables) -> DataFrame:
-    """Uses per CIP order: order_no, item_code, uses.
+    """Uses per CIP order and product: order_no, item_code, uses.
 
-    The records are counted per order before the join. The count shuffles on the join key, so
-    it costs no extra exchange, and an order with very many uses shrinks to one row.
+    Both sides are counted before the join, so an order with very many records or lines is
+    one row per side when it gets there. Counting the records shuffles on the join key and
+    costs no extra exchange.
     """
     records = service_lines(tables, "tb_order_cip_record")
-    uses = records.groupBy("order_no").agg(rows().alias("uses"))
-    return uses.join(service_lines(tables, "tb_order_cip", "pro_code"), "order_no")
+    recorded = records.groupBy("order_no").agg(rows().alias("records"))
+    orders = service_lines(tables, "tb_order_cip", "pro_code")
+    ordered = orders.groupBy("order_no", "item_code").agg(rows().alias("lines"))
+    uses = (F.col("records") * F.col("lines")).alias("uses")
+    return recorded.join(ordered, "order_no").select("order_no", "item_code", uses)
 
 
 def cip_uses(tables: Tables) -> DataFrame:

@@ -91,14 +91,13 @@ def profile_rest(tables: Tables, settings: Settings) -> DataFrame:
     )
     redeemed = drop_missing(restaurants.redemptions(tables), "item_code")
     viewed = browsing.page_views(tables, fixed.RESTAURANT_PAGES, "code")
-    hours = drop_missing(restaurants.browse_hours(tables), "item_code")
     return assemble(
         [
             orders,
             keyed(redeemed, BY_ITEM, usage_counter=usages()),
             keyed(viewed, BY_ITEM, browse_num=rows()),
             # The hand-off file may hold several lines per key; the largest one is kept.
-            keyed(hours, BY_ITEM, browse_hour=F.max("hours")),
+            keyed(restaurants.browse_hours(tables), BY_ITEM, browse_hour=F.max("hours")),
             keyed(
                 favourites.favourites(tables, fixed.RESTAURANT_PREFIX),
                 BY_ITEM,
@@ -200,8 +199,8 @@ def restaurant_order_tags(tables: Tables) -> DataFrame:
 
 
 def preference_tags(tables: Tables) -> DataFrame:
-    word = restaurants.preference_word(F.avg("flag"))
-    return keyed(restaurants.ordered_classes(tables), BY_USER, restaurant_preferences=word)
+    """The preference as a number: a text column would turn ``assemble`` into a sort aggregate."""
+    return keyed(restaurants.ordered_classes(tables), BY_USER, mean_flag=F.avg("flag"))
 
 
 def order_tags(tables: Tables) -> DataFrame:
@@ -308,7 +307,7 @@ def visit_log_tags(tables: Tables, settings: Settings) -> DataFrame:
 
 def profile_user_tags(tables: Tables, settings: Settings) -> DataFrame:
     """One row per user with every tag."""
-    return assemble(
+    tags = assemble(
         [
             restaurant_order_tags(tables),
             preference_tags(tables),
@@ -328,6 +327,8 @@ def profile_user_tags(tables: Tables, settings: Settings) -> DataFrame:
         ],
         BY_USER,
     )
+    word = F.when(F.col("mean_flag").isNotNull(), restaurants.preference_word(F.col("mean_flag")))
+    return tags.withColumn("restaurant_preferences", word).drop("mean_flag")
 
 
 PROFILES = {

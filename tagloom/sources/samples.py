@@ -13,7 +13,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.sources.tables import remembered
 
-BASE_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages")
+# Columns of the base tables that the views use. Declaring them spares the job
+# that would read a file footer to infer them.
+BASE_SCHEMAS: dict[str, str] = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_type string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, "
+        "l_linestatus string"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    ),
+    "pages": "page_id bigint, url string",
+}
+BASE_TABLES = tuple(BASE_SCHEMAS)
 
 VIEWS: dict[str, str] = {
     "tb_order": """
@@ -157,7 +178,10 @@ def base_tables_of(view: str) -> list[str]:
 
 def sample_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     """Resolver over ``sf_dir/<base table>.parquet``."""
-    base = remembered(lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    root = sf_dir.rstrip("/")
+    base = remembered(
+        lambda name: spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
+    )
 
     def load(name: str) -> DataFrame:
         return spark.sql(VIEWS[name], **{table: base(table) for table in base_tables_of(name)})
