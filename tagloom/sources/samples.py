@@ -13,26 +13,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.sources.tables import remembered
 
-# Columns of the base tables that the views use. Declaring them spares the job
-# that would read a file footer to infer them.
+# Columns of the base tables. Declaring them spares the job that would read a
+# file footer to infer them.
 BASE_SCHEMAS: dict[str, str] = {
-    "nation": "n_nationkey int, n_name string",
-    "customer": "c_custkey bigint",
-    "supplier": "s_suppkey bigint, s_nationkey int",
-    "part": "p_partkey bigint, p_type string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-        "o_orderdate timestamp_ntz"
+        "o_orderdate timestamp_ntz, o_orderpriority string"
     ),
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-        "l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, "
-        "l_linestatus string"
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
     ),
     "events": (
-        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
     ),
-    "pages": "page_id bigint, url string",
+    "pages": "page_id bigint, url string, html string",
 }
 BASE_TABLES = tuple(BASE_SCHEMAS)
 
