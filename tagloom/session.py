@@ -19,13 +19,20 @@ ADAPTIVE = {
 BROADCAST_LIMIT = 32 * MIB
 
 
-def batch_conf(shuffle_bytes: int | None = None, cores: int = 8) -> dict[str, str]:
+# Without a size the shuffles start wide; AQE merges what turns out small.
+DEFAULT_PARTITIONS = 2000
+LEAST_PARTITIONS = 8
+
+
+def batch_conf(shuffle_bytes: int | None = None) -> dict[str, str]:
     """Settings for one run.
 
-    ``shuffle_bytes`` is the expected size of the largest shuffle. Partitions start at about
-    128 MiB each and at least one per core; AQE merges them where a shuffle turns out smaller.
+    ``shuffle_bytes`` is the expected size of the largest shuffle, which is cut into partitions
+    of about 128 MiB, so that one fits the memory of a task.
     """
-    partitions = max(cores, -(-(shuffle_bytes or 0) // (128 * MIB)))
+    partitions = DEFAULT_PARTITIONS
+    if shuffle_bytes is not None:
+        partitions = max(LEAST_PARTITIONS, -(-shuffle_bytes // (128 * MIB)))
     return {
         **ADAPTIVE,
         "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT),
@@ -36,11 +43,9 @@ def batch_conf(shuffle_bytes: int | None = None, cores: int = 8) -> dict[str, st
     }
 
 
-def batch_session(
-    name: str, shuffle_bytes: int | None = None, cores: int = 8, **extra: str
-) -> SparkSession:
+def batch_session(name: str, shuffle_bytes: int | None = None) -> SparkSession:
     """Session with ``batch_conf``; the master comes from spark-submit."""
     builder = SparkSession.builder.appName(name)
-    for key, value in {**batch_conf(shuffle_bytes, cores), **extra}.items():
+    for key, value in batch_conf(shuffle_bytes).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
