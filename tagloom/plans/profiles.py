@@ -46,10 +46,6 @@ def counted(condition: Column) -> Column:
     return F.nullif(F.count_if(condition), F.lit(0))
 
 
-def summed(condition: Column, amount: str) -> Column:
-    return F.sum(F.when(condition, F.col(amount)))
-
-
 def restaurant_orders(tables: Tables) -> DataFrame:
     """Orders per user, restaurant and day with the sum of the paid prices.
 
@@ -205,35 +201,34 @@ def preference_tags(tables: Tables) -> DataFrame:
 
 def order_tags(tables: Tables) -> DataFrame:
     """Tags that reach their user through the order number, from one join to the orders."""
-
-    def lines(kind: str, df: DataFrame, weight: Column | None = None) -> DataFrame:
-        weight = F.lit(1).cast("bigint") if weight is None else weight
-        return df.select("order_no", F.lit(kind).alias("kind"), weight.alias("weight"))
-
     redeemed = tables("td_restaurant_order").select(F.col("fd_code").alias("order_no"))
-    together = reduce(
-        DataFrame.unionByName,
-        [
-            lines("cip", services.service_lines(tables, "tb_order_cip", "pro_code")),
-            lines("cip use", services.cip_use_lines(tables), F.col("uses")),
-            lines("vvip", services.service_lines(tables, "tb_order_vvip")),
-            lines("car", services.service_lines(tables, "tb_order_limousine")),
-            lines("parking", services.service_lines(tables, "tb_order_parking")),
-            lines("redeemed", drop_missing(redeemed, "order_no")),
-            lines("lounge item", lounges.self_item_lines(tables), F.col("items")),
-        ],
-    )
+    one = F.lit(1).cast("bigint")
+    sources = {
+        "cip": (services.service_lines(tables, "tb_order_cip", "pro_code"), one),
+        "cip use": (services.cip_use_lines(tables), F.col("uses")),
+        "vvip": (services.service_lines(tables, "tb_order_vvip"), one),
+        "car": (services.service_lines(tables, "tb_order_limousine"), one),
+        "parking": (services.service_lines(tables, "tb_order_parking"), one),
+        "redeemed": (drop_missing(redeemed, "order_no"), one),
+        "lounge item": (lounges.self_item_lines(tables), F.col("items")),
+    }
+    # Shuffled with every line, so the kind travels as one byte.
+    code = {kind: F.lit(number).cast("tinyint") for number, kind in enumerate(sources)}
+    lines = [
+        df.select("order_no", code[kind].alias("kind"), weight.alias("weight"))
+        for kind, (df, weight) in sources.items()
+    ]
     orders = services.order_users(tables, "actual_amount")
-    facts = together.join(orders, "order_no").withColumn("amount", whole_amount("actual_amount"))
+    facts = reduce(DataFrame.unionByName, lines).join(orders, "order_no")
 
     def number(kind: str) -> Column:
-        return summed(F.col("kind") == kind, "weight")
+        return F.sum(F.when(F.col("kind") == code[kind], F.col("weight")))
 
     def mean(kind: str) -> Column:
-        return truncated_mean(F.when(F.col("kind") == kind, F.col("amount")))
+        return truncated_mean(F.when(F.col("kind") == code[kind], F.col("amount")))
 
     return keyed(
-        facts,
+        facts.withColumn("amount", whole_amount("actual_amount")),
         BY_USER,
         cip_consumption_num=number("cip"),
         cip_average_order_amount=mean("cip"),

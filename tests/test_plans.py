@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from conftest import SAMPLE_DIR, collected
 from tagloom import Settings
-from tagloom.operators import restaurants, services
+from tagloom.operators import services
 from tagloom.plans.metrics import METRICS
 from tagloom.plans.profiles import PROFILES
 from tagloom.sinks.files import save_bucketed
@@ -49,15 +49,11 @@ def stored(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_no_python_and_no_cartesian_step(spark, name):
+def test_only_declarative_steps_and_wanted_joins(spark, name):
     plan = plan_of(queries()[name](spark, SAMPLE_DIR))
     for step in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHash"):
         assert step not in plan, step
-
-
-@pytest.mark.parametrize("name", sorted(queries()))
-def test_outer_joins_only_for_the_optional_labels(spark, name):
-    plan = plan_of(queries()[name](spark, SAMPLE_DIR))
+    # Only the optional labels need an outer join.
     assert ("LeftOuter" in plan) == (name in ("article_labels", "profile_user_tags"))
     assert "FullOuter" not in plan
 
@@ -118,38 +114,72 @@ def test_profiles_are_right_when_partitions_are_not_merged_alike(spark, conf, na
     assert collected(queries()[name](spark, SAMPLE_DIR)) == expected
 
 
-def hot_orders(spark, hot_share=3, rows=60000):
-    """Order details of which one third belong to a single order."""
-    number = F.when(F.col("id") % hot_share == 0, 0).otherwise(F.col("id"))
-    lines = spark.range(rows).select(
-        number.cast("string").alias("order_no"),
+ROWS = 60000
+
+
+def hot_text(prefix=""):
+    """A key of which one value owns a third of the rows."""
+    number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    return F.concat(F.lit(prefix), number.cast("string"))
+
+
+def every_key(spark, prefix=""):
+    return spark.range(ROWS).select(
+        F.concat(F.lit(prefix), F.col("id").cast("string")).alias("key"),
+        (F.col("id") % 100).alias("user_id"),
+    )
+
+
+def hot_orders(spark):
+    lines = spark.range(ROWS).select(
+        hot_text().alias("fd_code"),
         F.concat(F.lit("R"), (F.col("id") % 5).cast("string")).alias("fd_restaurant_code"),
         F.lit("2024-05-01 10:00:00").cast("timestamp").alias("ordertime"),
         F.lit(1.0).alias("cprice"),
-        F.lit(1.0).alias("xfprice"),
         F.lit("c").alias("fd_class"),
     )
-    orders = spark.range(rows).select(
-        F.col("id").cast("string").alias("order_no"),
-        (F.col("id") % 100).alias("user_id"),
-        F.lit(1.0).alias("actual_amount"),
-    )
     places = spark.range(5).select(
         F.concat(F.lit("R"), F.col("id").cast("string")).alias("fd_code"),
         F.lit("zh-cn").alias("fd_lg"),
         F.lit("T2").alias("fd_inspection"),
     )
-    frames = {
-        "restaurant_order_detail2": lines.withColumnRenamed("order_no", "fd_code"),
-        "tb_order": orders,
+    tables = {
+        "restaurant_order_detail2": lines,
+        "tb_order": every_key(spark).withColumnRenamed("key", "order_no"),
         "itd_restaurant": places,
     }
-    return frames.__getitem__
+    return METRICS["rest_consumption_tag"](tables.__getitem__, Settings())
+
+
+def hot_card(spark):
+    records = spark.range(ROWS).select(
+        hot_text().alias("dragoncode"),
+        F.concat(F.lit("N"), (F.col("id") % 5).cast("string")).alias("loungecode"),
+        F.lit(1).cast("bigint").alias("point"),
+        F.lit(1).cast("bigint").alias("personcount"),
+    )
+    cards = every_key(spark).withColumnRenamed("key", "dragoncode")
+    tables = {"tblconsumerecord": records, "tb_bindrecord": cards}
+    return METRICS["lounge_usage_tag"](tables.__getitem__, Settings())
+
+
+def hot_article(spark):
+    prefix = Settings().article_prefix
+    reads = spark.range(ROWS).select(
+        (F.col("id") % 100).cast("string").alias("user_id"), hot_text(prefix).alias("url")
+    )
+    articles = spark.range(ROWS).select(
+        F.col("id").cast("string").alias("id"), F.lit("十一").alias("person_labels")
+    )
+    tables = {"tbd_visit_url": reads, "tbd_belles_lettres": articles}
+    labels = METRICS["article_labels"](tables.__getitem__, Settings())
+    return labels.select("user_id", F.col("eleven").alias("n"))
 
 
-def test_a_hot_order_is_split_across_tasks(spark, conf):
-    tables = hot_orders(spark)
-    expected = collected(restaurants.consumption(tables, ("user_id",), "n"))
+@pytest.mark.parametrize("define", [hot_orders, hot_card, hot_article])
+def test_a_hot_join_key_is_split_across_tasks(spark, conf, define):
+    expected = collected(define(spark))
+    assert sum(n for _, n in expected) == ROWS
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -157,10 +187,9 @@ def test_a_hot_order_is_split_across_tasks(spark, conf):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
     )
-    df = restaurants.consumption(tables, ("user_id",), "n")
+    df = define(spark)
     assert collected(df) == expected
     assert "skew=true" in plan_of(df)
-    assert sum(n for _, n in expected) == 60000
 
 
 def test_a_hot_record_is_one_row_at_the_join(spark, conf, tables):
