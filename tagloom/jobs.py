@@ -120,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--browse-hours", help="tuple text with the browse hours")
     options.add_argument("--settings", help="JSON file with Settings fields")
     options.add_argument("--shuffle-bytes", type=int, help="expected size of the largest shuffle")
+    options.add_argument("--zone", default="UTC", help="session time zone: the day of an order")
     sink = options.add_mutually_exclusive_group(required=True)
     sink.add_argument("--out", help="target folder, must not exist")
     sink.add_argument("--index", help="search index to upsert into")
@@ -131,6 +132,6 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = batch_session(f"tagloom {args.job}", args.shuffle_bytes)
+    spark = batch_session(f"tagloom {args.job}", args.shuffle_bytes, args.zone)
     result = run(args.job, tables_from(spark, args), settings_from(args.settings))
     store(spark, args.job, result, args)

@@ -24,11 +24,12 @@ DEFAULT_PARTITIONS = 2000
 LEAST_PARTITIONS = 8
 
 
-def batch_conf(shuffle_bytes: int | None = None) -> dict[str, str]:
+def batch_conf(shuffle_bytes: int | None = None, zone: str = "UTC") -> dict[str, str]:
     """Settings for one run.
 
     ``shuffle_bytes`` is the expected size of the largest shuffle, which is cut into partitions
-    of about 128 MiB, so that one fits the memory of a task.
+    of about 128 MiB, so that one fits the memory of a task. ``zone`` decides which day an order
+    time with a zone belongs to; times without a zone are taken as they are.
     """
     partitions = DEFAULT_PARTITIONS
     if shuffle_bytes is not None:
@@ -39,13 +40,15 @@ def batch_conf(shuffle_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(256 * MIB),
-        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.session.timeZone": zone,
     }
 
 
-def batch_session(name: str, shuffle_bytes: int | None = None) -> SparkSession:
+def batch_session(
+    name: str, shuffle_bytes: int | None = None, zone: str = "UTC"
+) -> SparkSession:
     """Session with ``batch_conf``; the master comes from spark-submit."""
     builder = SparkSession.builder.appName(name)
-    for key, value in batch_conf(shuffle_bytes).items():
+    for key, value in batch_conf(shuffle_bytes, zone).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -24,11 +24,17 @@ def write_extract(df: DataFrame, path: str, partition: str | None = None) -> Non
     writer.parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, spread: int = 4) -> None:
     """Store a table bucketed and sorted by its join key.
 
-    Tables bucketed alike on the order number join without shuffling either side. The rows are
-    first brought together by bucket, so that each bucket is one file and not one per task.
+    Tables bucketed alike on the order number join without shuffling either side. Rows are
+    brought together by bucket first, so that a bucket is at most ``spread`` files rather than
+    one per task; each bucket is written by ``spread`` tasks, whatever keys it holds.
+
+    A bucket is read by one task, and a join without a shuffle cannot be split. Bucket tables
+    whose key hardly repeats, such as the orders; leave the others to the shuffled join.
     """
-    brought = df.repartition(buckets, key)
+    placed = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
+    placed = placed.withColumn("_share", F.spark_partition_id() % spread)
+    brought = placed.repartition(buckets * spread, "_bucket", "_share").drop("_bucket", "_share")
     brought.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).saveAsTable(table)

@@ -3,14 +3,17 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SAMPLE_DIR, collected
-from tagloom import jobs, session
+from tagloom import Settings, jobs, session
 from tagloom.plans.metrics import EXTRACTS, METRICS
 from tagloom.plans.profiles import PROFILES
 from tagloom.session import batch_conf
-from tagloom.sinks.files import tuple_lines, write_extract, write_tuples
+from tagloom.sinks.files import save_bucketed, tuple_lines, write_extract, write_tuples
 from tagloom.sinks.profile import as_documents, document_field, merge_profile, upsert_profile
+from tagloom.sources.samples import sample_tables
+from tagloom.sources.tables import parquet_tables
 
 
 def test_merge_keeps_what_the_fresh_rows_do_not_set(spark):
@@ -95,10 +98,36 @@ def test_extracts_are_laid_out_by_page(spark, tmp_path):
     ]
 
 
+def test_one_key_is_written_to_its_bucket_by_several_tasks(spark):
+    spark.sql("create database if not exists placed")
+    hot = spark.range(0, 4000, 1, 8).select(F.lit("a").alias("order_no"), "id")
+    save_bucketed(hot, "placed.hot", "order_no", 4, spread=4)
+    stored = spark.table("placed.hot")
+    names = {path.rsplit("_", 1)[1].split(".")[0] for path in stored.inputFiles()}
+    assert len(names) == 1
+    assert 1 < len(stored.inputFiles()) <= 4
+    assert stored.count() == 4000
+    spark.sql("drop database placed cascade")
+
+
+def test_page_extracts_read_only_their_partitions(spark, tmp_path):
+    sample = sample_tables(spark, SAMPLE_DIR)
+    log = sample("tbd_app_opera_path").filter("page_order < 40")
+    write_extract(log, f"{tmp_path}/tbd_app_opera_path", "page_order")
+    tables = parquet_tables(spark, str(tmp_path))
+    page = METRICS["path_page_extract"](tables, Settings(page_order=20))
+    assert collected(page.select("id")) == collected(
+        METRICS["path_page_extract"](sample, Settings(page_order=20)).select("id")
+    )
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(page_order" in plan
+
+
 def test_shuffles_are_cut_to_their_size():
     sized = batch_conf(shuffle_bytes=5 * 1024**4)
     assert sized["spark.sql.shuffle.partitions"] == str(5 * 1024**4 // (128 * 1024**2))
     assert batch_conf(0)["spark.sql.shuffle.partitions"] == "8"
+    assert batch_conf(zone="Asia/Shanghai")["spark.sql.session.timeZone"] == "Asia/Shanghai"
 
 
 @pytest.fixture(autouse=True)
