@@ -95,6 +95,11 @@ def epoch_seconds(column: str, zone: str) -> Column:
     return F.when(shaped, F.unix_seconds(instant))
 
 
-def truncated_mean(amount: Column) -> Column:
-    """Integer average: sum div count over the non-NULL amounts, NULL when there are none."""
-    return F.call_function("div", F.sum(amount), F.nullif(F.count(amount), F.lit(0)))
+def mean(amount: str, number: str) -> Column:
+    """Average of added-up amounts: total over total number, NULL when there are none."""
+    return F.sum(amount) / F.nullif(F.sum(number), F.lit(0))
+
+
+def truncated_mean(amount: str, number: str) -> Column:
+    """Integer average of added-up whole amounts, NULL when there are none."""
+    return F.call_function("div", F.sum(amount), F.nullif(F.sum(number), F.lit(0)))

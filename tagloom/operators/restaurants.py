@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import settings as fixed
-from tagloom.functions.exprs import drop_missing, valid_users
-from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows, usages
+from tagloom.functions.exprs import drop_missing, mean, valid_users
+from tagloom.operators.base import (
+    BY_ITEM,
+    BY_USER,
+    Tables,
+    per_key,
+    rows,
+    tallied,
+    total,
+    usages,
+)
 from tagloom.operators.services import order_users
 
 
@@ -18,13 +27,14 @@ def local_restaurants(tables: Tables) -> DataFrame:
     return drop_missing(counted, "fd_inspection").select(F.col("fd_code").alias("item_code"))
 
 
-def order_lines(tables: Tables, *prices: str, require: tuple[str, ...] | None = None) -> DataFrame:
-    """Order details of known restaurants and users: user_id, item_code, order_day, prices.
+def order_lines(
+    tables: Tables, *prices: str, require: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Order details at known restaurants: order_no, item_code, order_day, prices.
 
     ``require`` names the prices that must be present (default: all of them). Code, order
-    time and class must be present too, although no metric reads the class. The restaurant
-    join comes first: Catalyst broadcasts that side while its size allows it. The join to the
-    orders shuffles on the order number; AQE splits a hot one.
+    time and class must be present too, although no metric reads the class. Catalyst
+    broadcasts the restaurants while their size allows it.
     """
     details = tables("restaurant_order_detail2").select(
         F.col("fd_code").alias("order_no"),
@@ -35,34 +45,47 @@ def order_lines(tables: Tables, *prices: str, require: tuple[str, ...] | None =
     )
     needed = prices if require is None else require
     details = drop_missing(details, "order_no", "item_code", "ordertime", "fd_class", *needed)
-    return (
-        details.join(local_restaurants(tables), "item_code")
-        .join(order_users(tables), "order_no")
-        .select("user_id", "item_code", F.to_date("ordertime").alias("order_day"), *prices)
+    return details.join(local_restaurants(tables), "item_code").select(
+        "order_no", "item_code", F.to_date("ordertime").alias("order_day"), *prices
     )
 
 
+def user_orders(
+    tables: Tables, lines: DataFrame, /, *keys: str, **sums: Column
+) -> DataFrame:
+    """``lines`` added up per order and ``keys``, with the user of the order."""
+    return tallied(lines, "order_no", *keys, **sums).join(order_users(tables), "order_no")
+
+
 def consumption(tables: Tables, by: tuple[str, ...], name: str) -> DataFrame:
     """Number of orders."""
-    return per_key(order_lines(tables, "cprice"), by, **{name: rows()})
+    orders = user_orders(tables, order_lines(tables, "cprice"), *by[1:])
+    return per_key(orders, by, **{name: total()})
+
+
+def payments(tables: Tables, by: tuple[str, ...]) -> DataFrame:
+    """Paid prices and their number per order (and restaurant)."""
+    lines = order_lines(tables, "xfprice")
+    return user_orders(tables, lines, *by[1:], paid=F.sum("xfprice"), lines=rows())
 
 
 def average_amount(tables: Tables) -> DataFrame:
     """Mean paid price per user and restaurant."""
-    lines = order_lines(tables, "xfprice")
-    return per_key(lines, BY_ITEM, average_order_amount=F.avg("xfprice"))
+    paid = payments(tables, BY_ITEM)
+    return per_key(paid, BY_ITEM, average_order_amount=mean("paid", "lines"))
 
 
 def average_amount_tag(tables: Tables) -> DataFrame:
     """Mean paid price per user, truncated to a whole number."""
-    lines = order_lines(tables, "xfprice")
-    return per_key(lines, BY_USER, rest_average_order_amount_int=F.avg("xfprice").cast("bigint"))
+    whole = mean("paid", "lines").cast("bigint")
+    return per_key(payments(tables, BY_USER), BY_USER, rest_average_order_amount_int=whole)
 
 
 def orders_per_day(tables: Tables) -> DataFrame:
     """Orders per user, restaurant and day."""
     lines = order_lines(tables, "cprice")
-    return lines.groupBy(*BY_ITEM, "order_day").agg(rows().alias("orders"))
+    orders = user_orders(tables, lines, "item_code", "order_day")
+    return orders.groupBy(*BY_ITEM, "order_day").agg(total().alias("orders"))
 
 
 def multitime(tables: Tables) -> DataFrame:
@@ -77,45 +100,47 @@ def multitime_tag(tables: Tables) -> DataFrame:
     return per_key(orders_per_day(tables), BY_USER, rest_multitime_consumption_num=repeated)
 
 
-def redemptions(tables: Tables) -> DataFrame:
-    """Redeemed restaurant orders with their user."""
+def redemption_lines(tables: Tables, by: tuple[str, ...]) -> DataFrame:
+    """Redeemed restaurant orders, counted per order (and restaurant)."""
     redeemed = tables("td_restaurant_order").select(
         F.col("fd_code").alias("order_no"), F.col("fd_restaurant_code").alias("item_code")
     )
-    return redeemed.join(order_users(tables), "order_no").select("user_id", "item_code")
+    keys = ("order_no", *by[1:])
+    return tallied(drop_missing(redeemed, *keys), *keys)
 
 
 def usage(tables: Tables) -> DataFrame:
     """Redemptions per user and restaurant."""
-    facts = drop_missing(redemptions(tables), "item_code")
-    return per_key(facts, BY_ITEM, usage_counter=usages())
+    redeemed = redemption_lines(tables, BY_ITEM).join(order_users(tables), "order_no")
+    return per_key(redeemed, BY_ITEM, usage_counter=usages())
 
 
 def usage_tag(tables: Tables) -> DataFrame:
     """Redemptions per user."""
-    return per_key(redemptions(tables), BY_USER, rest_usage_counter=rows())
+    redeemed = redemption_lines(tables, BY_USER).join(order_users(tables), "order_no")
+    return per_key(redeemed, BY_USER, rest_usage_counter=total())
 
 
 def ordered_classes(tables: Tables) -> DataFrame:
-    """One row per ordered detail whose class is known: user_id and the numeric class flag."""
+    """Class flags of the ordered details added up per order, with the user: flags, lines."""
     details = tables("restaurant_order_detail2").select(
         F.col("fd_code").alias("order_no"), "fd_class"
     )
     classes = tables("restaurant_class").select(
         "fd_class", F.col("fd_cls").try_cast("double").alias("flag")
     )
-    flagged = details.join(drop_missing(classes, "flag"), "fd_class").select("order_no", "flag")
-    return flagged.join(order_users(tables), "order_no").select("user_id", "flag")
+    flagged = drop_missing(details, "order_no").join(drop_missing(classes, "flag"), "fd_class")
+    return user_orders(tables, flagged, flags=F.sum("flag"), lines=rows())
 
 
-def preference_word(mean_flag):
+def preference_word(mean_flag: Column) -> Column:
     chinese = mean_flag >= 0.5
     return F.when(chinese, fixed.PREFERENCE_CHINESE).otherwise(fixed.PREFERENCE_WESTERN)
 
 
 def preference(tables: Tables) -> DataFrame:
     """Cuisine that at least half of a user's orders belong to."""
-    word = preference_word(F.avg("flag"))
+    word = preference_word(mean("flags", "lines"))
     return per_key(ordered_classes(tables), BY_USER, restaurant_preferences=word)
 
 

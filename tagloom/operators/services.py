@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.exprs import drop_missing, truncated_mean, valid_users, whole_amount
-from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows
+from tagloom.functions.exprs import drop_missing, mean, truncated_mean, valid_users, whole_amount
+from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, tallied, total, usages
 
 
 def order_users(tables: Tables, *columns: str) -> DataFrame:
@@ -15,74 +15,78 @@ def order_users(tables: Tables, *columns: str) -> DataFrame:
     return valid_users(drop_missing(orders, "order_no"))
 
 
-def service_lines(tables: Tables, table: str, item: str | None = None) -> DataFrame:
-    """Rows of a service order table: order_no and, when ``item`` is given, a present item code."""
-    if item is None:
-        return drop_missing(tables(table).select("order_no"), "order_no")
-    lines = tables(table).select("order_no", F.col(item).alias("item_code"))
-    return drop_missing(lines, "order_no", "item_code")
+def service_lines(
+    tables: Tables, table: str, require: str | None = None, per_item: bool = False
+) -> DataFrame:
+    """Rows of a service order table, counted per order (and item): order_no, lines.
+
+    ``require`` names the item code column when only rows that have one count; ``per_item``
+    keeps it as item_code.
+    """
+    columns = ["order_no"] if require is None else ["order_no", require]
+    lines = drop_missing(tables(table).select(*columns), *columns)
+    if not per_item:
+        return tallied(lines, "order_no")
+    return tallied(lines.withColumnRenamed(require, "item_code"), "order_no", "item_code")
 
 
-def service_orders(tables: Tables, table: str, item: str | None = None) -> DataFrame:
-    """Service orders with their user."""
-    return service_lines(tables, table, item).join(order_users(tables), "order_no")
+def paid_orders(tables: Tables) -> DataFrame:
+    """Orders with a usable user and the whole part of the amount paid, NULL if unknown."""
+    orders = order_users(tables, "actual_amount")
+    return orders.select("order_no", "user_id", whole_amount("actual_amount").alias("amount"))
 
 
-def service_payments(tables: Tables, table: str, item: str | None = None) -> DataFrame:
-    """Service orders with their user and the whole part of the amount paid."""
-    orders = order_users(tables, "actual_amount").withColumn("amount", whole_amount("actual_amount"))
-    paid = drop_missing(orders, "amount").drop("actual_amount")
-    return service_lines(tables, table, item).join(paid, "order_no")
+def payments(tables: Tables, lines: DataFrame) -> DataFrame:
+    """Counted lines of paid orders with their user and the amount of all the lines."""
+    joined = lines.join(drop_missing(paid_orders(tables), "amount"), "order_no")
+    return joined.withColumn("paid", F.col("amount") * F.col("lines"))
 
 
 def consumption(tables: Tables, table: str, item: str) -> DataFrame:
     """Orders per user and item."""
-    return per_key(service_orders(tables, table, item), BY_ITEM, consumption_num=rows())
+    lines = service_lines(tables, table, item, per_item=True)
+    orders = lines.join(order_users(tables), "order_no")
+    return per_key(orders, BY_ITEM, consumption_num=total())
 
 
 def average_amount(tables: Tables, table: str, item: str) -> DataFrame:
     """Mean whole amount per user and item."""
-    payments = service_payments(tables, table, item)
-    return per_key(payments, BY_ITEM, average_order_amount=F.avg("amount"))
+    paid = payments(tables, service_lines(tables, table, item, per_item=True))
+    return per_key(paid, BY_ITEM, average_order_amount=mean("paid", "lines"))
 
 
-def consumption_tag(tables: Tables, table: str, name: str, item: str | None = None) -> DataFrame:
+def consumption_tag(tables: Tables, table: str, name: str, require: str | None = None) -> DataFrame:
     """Orders per user."""
-    return per_key(service_orders(tables, table, item), BY_USER, **{name: rows()})
+    orders = service_lines(tables, table, require).join(order_users(tables), "order_no")
+    return per_key(orders, BY_USER, **{name: total()})
 
 
-def average_amount_tag(tables: Tables, table: str, name: str, item: str | None = None) -> DataFrame:
+def average_amount_tag(
+    tables: Tables, table: str, name: str, require: str | None = None
+) -> DataFrame:
     """Integer mean of the whole amounts per user."""
-    payments = service_payments(tables, table, item)
-    return per_key(payments, BY_USER, **{name: truncated_mean(F.col("amount"))})
+    paid = payments(tables, service_lines(tables, table, require))
+    return per_key(paid, BY_USER, **{name: truncated_mean("paid", "lines")})
 
 
-def cip_use_lines(tables: Tables) -> DataFrame:
-    """Uses per CIP order and product: order_no, item_code, uses.
+def cip_use_lines(tables: Tables, per_item: bool = False) -> DataFrame:
+    """Uses per CIP order (and product): order_no, lines.
 
-    Both sides are counted before the join, so an order with very many records or lines is
-    one row per side when it gets there. Counting the records shuffles on the join key and
-    costs no extra exchange.
+    A use is a pair of a record and an order line, so the two counts are multiplied.
     """
-    records = service_lines(tables, "tb_order_cip_record")
-    recorded = records.groupBy("order_no").agg(rows().alias("records"))
-    orders = service_lines(tables, "tb_order_cip", "pro_code")
-    ordered = orders.groupBy("order_no", "item_code").agg(rows().alias("lines"))
-    uses = (F.col("records") * F.col("lines")).alias("uses")
-    return recorded.join(ordered, "order_no").select("order_no", "item_code", uses)
-
-
-def cip_uses(tables: Tables) -> DataFrame:
-    """CIP order uses with their user."""
-    return cip_use_lines(tables).join(order_users(tables), "order_no")
+    records = service_lines(tables, "tb_order_cip_record").withColumnRenamed("lines", "records")
+    ordered = service_lines(tables, "tb_order_cip", "pro_code", per_item)
+    uses = records.join(ordered, "order_no")
+    return uses.withColumn("lines", F.col("records") * F.col("lines")).drop("records")
 
 
 def cip_usage(tables: Tables) -> DataFrame:
     """Uses per user and CIP product."""
-    total = F.sum("uses").cast("double")
-    return per_key(cip_uses(tables), BY_ITEM, usage_counter=total)
+    uses = cip_use_lines(tables, per_item=True).join(order_users(tables), "order_no")
+    return per_key(uses, BY_ITEM, usage_counter=usages())
 
 
 def cip_usage_tag(tables: Tables) -> DataFrame:
     """Uses of CIP orders per user."""
-    return per_key(cip_uses(tables), BY_USER, cip_usage_counter=F.sum("uses"))
+    uses = cip_use_lines(tables).join(order_users(tables), "order_no")
+    return per_key(uses, BY_USER, cip_usage_counter=total())

@@ -17,15 +17,14 @@ from pyspark.sql import functions as F
 from tagloom import settings as fixed
 from tagloom.functions.exprs import (
     article_id,
-    drop_missing,
     has_prefix,
+    mean,
     text_user,
     truncated_mean,
     valid_users,
-    whole_amount,
 )
 from tagloom.operators import browsing, favourites, lounges, restaurants, services, visits
-from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows, usages
+from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows, total, usages
 from tagloom.settings import Settings
 
 
@@ -53,12 +52,17 @@ def restaurant_orders(tables: Tables) -> DataFrame:
     """
     lines = restaurants.order_lines(tables, "cprice", "xfprice", require=())
     priced, paid = present(lines, "cprice"), present(lines, "xfprice")
-    lines = text_user(lines.filter(priced | paid))
-    return lines.groupBy(*BY_ITEM, "order_day").agg(
-        F.count_if(priced).alias("orders"),
-        F.count_if(paid).alias("payments"),
-        F.sum(F.when(paid, F.col("xfprice"))).alias("paid"),
+    orders = restaurants.user_orders(
+        tables,
+        lines.filter(priced | paid),
+        "item_code",
+        "order_day",
+        orders=F.count_if(priced),
+        payments=F.count_if(paid),
+        paid=F.sum(F.when(paid, F.col("xfprice"))),
     )
+    sums = [F.sum(name).alias(name) for name in ("orders", "payments", "paid")]
+    return text_user(orders).groupBy(*BY_ITEM, "order_day").agg(*sums)
 
 
 def present(df: DataFrame, column: str) -> Column:
@@ -68,10 +72,6 @@ def present(df: DataFrame, column: str) -> Column:
     return known
 
 
-def mean_paid() -> Column:
-    return F.sum("paid") / F.nullif(F.sum("payments"), F.lit(0))
-
-
 def any_orders() -> Column:
     return F.sum("orders") > 0
 
@@ -82,10 +82,12 @@ def profile_rest(tables: Tables, settings: Settings) -> DataFrame:
         restaurant_orders(tables),
         BY_ITEM,
         consumption_num=F.nullif(F.sum("orders"), F.lit(0)),
-        average_order_amount=mean_paid(),
+        average_order_amount=mean("paid", "payments"),
         multitime_consumption=F.when(any_orders(), F.bool_or(F.col("orders") > 1)),
     )
-    redeemed = drop_missing(restaurants.redemptions(tables), "item_code")
+    redeemed = restaurants.redemption_lines(tables, BY_ITEM).join(
+        services.order_users(tables), "order_no"
+    )
     viewed = browsing.page_views(tables, fixed.RESTAURANT_PAGES, "code")
     return assemble(
         [
@@ -105,20 +107,25 @@ def profile_rest(tables: Tables, settings: Settings) -> DataFrame:
     )
 
 
+def all_visits(tables: Tables, by: tuple[str, ...]) -> DataFrame:
+    sums = {**lounges.point_sums(), **lounges.person_sums(), "lines": rows()}
+    return lounges.visits(tables, by, **sums)
+
+
 def profile_lounge(tables: Tables, settings: Settings) -> DataFrame:
     """User x lounge: orders, mean points, persons, visits, views, favourites, praise."""
     visited = keyed(
-        lounges.visits(tables),
+        all_visits(tables, BY_ITEM),
         BY_ITEM,
-        average_order_amount=F.avg("point"),
-        people_consumption=F.sum("personcount"),
+        average_order_amount=mean("points", "pointed"),
+        people_consumption=total("persons"),
         usage_counter=usages(),
     )
     viewed = browsing.page_views(tables, fixed.LOUNGE_PAGES, "code")
     return assemble(
         [
             visited,
-            keyed(lounges.ordered_lounges(tables), BY_ITEM, consumption_num=rows()),
+            keyed(lounges.ordered_lounges(tables), BY_ITEM, consumption_num=total()),
             keyed(viewed, BY_ITEM, browse_num=rows()),
             keyed(
                 favourites.favourites(tables, fixed.LOUNGE_PREFIX), BY_ITEM, collection_num=rows()
@@ -144,13 +151,22 @@ def profile_shop(tables: Tables, settings: Settings) -> DataFrame:
 
 def paid_service(tables: Tables, table: str, item: str) -> DataFrame:
     """Service orders per user and item with their mean whole amount, from a single join."""
-    orders = services.order_users(tables, "actual_amount")
-    joined = services.service_lines(tables, table, item).join(orders, "order_no")
+    lines = services.service_lines(tables, table, item, per_item=True)
     return keyed(
-        joined.withColumn("amount", whole_amount("actual_amount")),
+        with_payments(lines.join(services.paid_orders(tables), "order_no")),
         BY_ITEM,
-        consumption_num=rows(),
-        average_order_amount=F.avg("amount"),
+        consumption_num=total(),
+        average_order_amount=mean("paid", "payments"),
+    )
+
+
+def with_payments(lines: DataFrame) -> DataFrame:
+    """Add the amount of all lines and their number, both NULL where the amount is unknown."""
+    return lines.withColumns(
+        {
+            "paid": F.col("amount") * F.col("lines"),
+            "payments": F.when(F.col("amount").isNotNull(), F.col("lines")),
+        }
     )
 
 
@@ -168,8 +184,15 @@ def profile_parking(tables: Tables, settings: Settings) -> DataFrame:
 
 def profile_cip(tables: Tables, settings: Settings) -> DataFrame:
     """User x CIP product: orders, mean amount, uses."""
-    uses = keyed(services.cip_uses(tables), BY_ITEM, usage_counter=F.sum("uses").cast("double"))
-    return assemble([paid_service(tables, "tb_order_cip", "pro_code"), uses], BY_ITEM)
+    uses = services.cip_use_lines(tables, per_item=True)
+    used = uses.join(services.order_users(tables), "order_no")
+    return assemble(
+        [
+            paid_service(tables, "tb_order_cip", "pro_code"),
+            keyed(used, BY_ITEM, usage_counter=usages()),
+        ],
+        BY_ITEM,
+    )
 
 
 def profile_article(tables: Tables, settings: Settings) -> DataFrame:
@@ -189,56 +212,57 @@ def restaurant_order_tags(tables: Tables) -> DataFrame:
         restaurant_orders(tables),
         BY_USER,
         rest_consumption_num=F.nullif(F.sum("orders"), F.lit(0)),
-        rest_average_order_amount_int=mean_paid().cast("bigint"),
+        rest_average_order_amount_int=mean("paid", "payments").cast("bigint"),
         rest_multitime_consumption_num=F.when(any_orders(), F.count_if(F.col("orders") > 1)),
     )
 
 
 def preference_tags(tables: Tables) -> DataFrame:
     """The preference as a number: a text column would turn ``assemble`` into a sort aggregate."""
-    return keyed(restaurants.ordered_classes(tables), BY_USER, mean_flag=F.avg("flag"))
+    classes = restaurants.ordered_classes(tables)
+    return keyed(classes, BY_USER, mean_flag=mean("flags", "lines"))
 
 
 def order_tags(tables: Tables) -> DataFrame:
-    """Tags that reach their user through the order number, from one join to the orders."""
-    redeemed = tables("td_restaurant_order").select(F.col("fd_code").alias("order_no"))
-    one = F.lit(1).cast("bigint")
+    """Tags that reach their user through the order number, from one join to the orders.
+
+    Every branch is counted per order and thereby partitioned by the order number, which the
+    union keeps: the join shuffles nothing but the orders.
+    """
     sources = {
-        "cip": (services.service_lines(tables, "tb_order_cip", "pro_code"), one),
-        "cip use": (services.cip_use_lines(tables), F.col("uses")),
-        "vvip": (services.service_lines(tables, "tb_order_vvip"), one),
-        "car": (services.service_lines(tables, "tb_order_limousine"), one),
-        "parking": (services.service_lines(tables, "tb_order_parking"), one),
-        "redeemed": (drop_missing(redeemed, "order_no"), one),
-        "lounge item": (lounges.self_item_lines(tables), F.col("items")),
+        "cip": services.service_lines(tables, "tb_order_cip", "pro_code"),
+        "cip use": services.cip_use_lines(tables),
+        "vvip": services.service_lines(tables, "tb_order_vvip"),
+        "car": services.service_lines(tables, "tb_order_limousine"),
+        "parking": services.service_lines(tables, "tb_order_parking"),
+        "redeemed": restaurants.redemption_lines(tables, BY_USER),
+        "lounge item": lounges.self_item_lines(tables),
     }
-    # Shuffled with every line, so the kind travels as one byte.
     code = {kind: F.lit(number).cast("tinyint") for number, kind in enumerate(sources)}
-    lines = [
-        df.select("order_no", code[kind].alias("kind"), weight.alias("weight"))
-        for kind, (df, weight) in sources.items()
-    ]
-    orders = services.order_users(tables, "actual_amount")
-    facts = reduce(DataFrame.unionByName, lines).join(orders, "order_no")
+    branches = [df.withColumn("kind", code[kind]) for kind, df in sources.items()]
+    lines = reduce(DataFrame.unionByName, branches)
+
+    def of_kind(kind: str, column: str) -> Column:
+        return F.sum(F.when(F.col("kind") == code[kind], F.col(column)))
 
     def number(kind: str) -> Column:
-        return F.sum(F.when(F.col("kind") == code[kind], F.col("weight")))
+        return of_kind(kind, "lines")
 
-    def mean(kind: str) -> Column:
-        return truncated_mean(F.when(F.col("kind") == code[kind], F.col("amount")))
+    def mean_amount(kind: str) -> Column:
+        return F.call_function("div", of_kind(kind, "paid"), of_kind(kind, "payments"))
 
     return keyed(
-        facts.withColumn("amount", whole_amount("actual_amount")),
+        with_payments(lines.join(services.paid_orders(tables), "order_no")),
         BY_USER,
         cip_consumption_num=number("cip"),
-        cip_average_order_amount=mean("cip"),
+        cip_average_order_amount=mean_amount("cip"),
         cip_usage_counter=number("cip use"),
         vvip_consumption_num=number("vvip"),
-        vvip_average_order_amount=mean("vvip"),
+        vvip_average_order_amount=mean_amount("vvip"),
         car_consumption_num=number("car"),
-        car_average_order_amount=mean("car"),
+        car_average_order_amount=mean_amount("car"),
         parking_consumption_num=number("parking"),
-        parking_average_order_amount=mean("parking"),
+        parking_average_order_amount=mean_amount("parking"),
         rest_usage_counter=number("redeemed"),
         lounge_consumption_num=number("lounge item"),
     )
@@ -246,11 +270,11 @@ def order_tags(tables: Tables) -> DataFrame:
 
 def visit_tags(tables: Tables) -> DataFrame:
     return keyed(
-        lounges.visits(tables),
+        all_visits(tables, BY_USER),
         BY_USER,
-        lounge_average_order_amount=truncated_mean(F.col("point")),
-        lounge_people_consumption=F.sum("personcount"),
-        lounge_usage_counter=rows(),
+        lounge_average_order_amount=truncated_mean("points", "pointed"),
+        lounge_people_consumption=total("persons"),
+        lounge_usage_counter=total(),
     )
 
 

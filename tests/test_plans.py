@@ -12,7 +12,7 @@ from conftest import SAMPLE_DIR, collected
 from tagloom import Settings
 from tagloom.operators import services
 from tagloom.plans.metrics import METRICS
-from tagloom.plans.profiles import PROFILES
+from tagloom.plans.profiles import PROFILES, order_tags
 from tagloom.sinks.files import save_bucketed
 from tagloom.sources.samples import sample_tables
 from tagloom.sources.schemas import columns, schema
@@ -176,10 +176,8 @@ def hot_article(spark):
     return labels.select("user_id", F.col("eleven").alias("n"))
 
 
-@pytest.mark.parametrize("define", [hot_orders, hot_card, hot_article])
-def test_a_hot_join_key_is_split_across_tasks(spark, conf, define):
-    expected = collected(define(spark))
-    assert sum(n for _, n in expected) == ROWS
+def shuffled(conf):
+    """No broadcasts, and skewed partitions count as such on small data."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -187,26 +185,50 @@ def test_a_hot_join_key_is_split_across_tasks(spark, conf, define):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
     )
+
+
+@pytest.mark.parametrize("define, key", [(hot_orders, "order_no"), (hot_card, "dragoncode")])
+def test_a_hot_join_key_is_combined_before_its_shuffle(spark, conf, define, key):
+    expected = collected(define(spark))
+    assert sum(n for _, n in expected) == ROWS
+    shuffled(conf)
     df = define(spark)
     assert collected(df) == expected
+    plan = plan_of(define(spark))
+    side = rf"Exchange hashpartitioning\({key}#\d+, \d+\)"
+    # One exchange per side; the lines are added up on both ends of theirs.
+    assert len(re.findall(side, plan)) == 2
+    added = rf"HashAggregate\(keys=\[{key}#\d+\]"
+    assert re.search(rf"Sort \[{key}[^\n]*\n[^\n]*{added}[^\n]*\n[^\n]*{side}[^\n]*\n[^\n]*{added}", plan)
+
+
+def test_a_hot_article_is_split_across_tasks(spark, conf):
+    expected = collected(hot_article(spark))
+    assert sum(n for _, n in expected) == ROWS
+    shuffled(conf)
+    df = hot_article(spark)
+    assert collected(df) == expected
     assert "skew=true" in plan_of(df)
 
 
-def test_a_hot_record_is_one_row_at_the_join(spark, conf, tables):
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-    )
+def test_cip_records_and_lines_are_each_one_row_at_the_join(conf, tables):
+    shuffled(conf)
     t = tables(
         tb_order=[("a", 1, 1.0)],
-        tb_order_cip=[("a", "C1")],
+        tb_order_cip=[("a", "C1")] * 20,
         tb_order_cip_record=[("a",)] * 5000,
     )
-    df = services.cip_usage_tag(t)
-    assert collected(df) == [("1", 5000)]
+    assert collected(services.cip_usage_tag(t)) == [("1", 100000)]
     plan = plan_of(services.cip_use_lines(t))
-    # Records: one exchange for count and join together.
-    assert len(re.findall(r"Exchange hashpartitioning\(order_no#\d+, \d+\)", plan)) == 2
+    assert plan.count("Exchange") == 2
+
+
+def test_order_tags_shuffle_only_the_orders_for_their_join(spark, conf):
+    shuffled(conf)
+    plan = plan_of(order_tags(sample_tables(spark, SAMPLE_DIR)))
+    join = plan[plan.index("SortMergeJoin [order_no") :].splitlines()
+    # Join, sort, union: no exchange between them.
+    assert "Sort [order_no" in join[1] and "Union" in join[2]
 
 
 def test_bucketed_orders_join_without_a_shuffle(spark, conf, tables):
@@ -225,6 +247,7 @@ def test_bucketed_orders_join_without_a_shuffle(spark, conf, tables):
     )
     plan = plan_of(df)
     assert "SortMergeJoin" in plan
+    # Only the closing aggregate shuffles.
     assert plan.count("Exchange") == 1
     assert collected(df) == expected
     spark.sql("drop database bucketed cascade")

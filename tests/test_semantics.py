@@ -446,9 +446,11 @@ def test_item_lists_match_plain_splitting(spark, lists):
 
 
 def test_averages_survive_keys_without_amounts(spark):
-    frame = spark.createDataFrame([(1, None), (2, 7), (2, 8)], "k int, v bigint")
-    means = frame.groupBy("k").agg(exprs.truncated_mean(F.col("v")).alias("m"))
-    assert collected(means) == [(1, None), (2, 7)]
+    frame = spark.createDataFrame([(1, None, 0), (2, 7, 1), (2, 8, 1)], "k int, v bigint, n bigint")
+    means = frame.groupBy("k").agg(
+        exprs.truncated_mean("v", "n").alias("whole"), exprs.mean("v", "n").alias("mean")
+    )
+    assert collected(means) == [(1, None, None), (2, 7, 7.5)]
 
 
 @pytest.mark.parametrize("amount, whole", [(2.9, 2), (-2.9, -2), (float("nan"), None), (1e300, None)])
