@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import settings as fixed
-from tagloom.functions.exprs import drop_missing, mean, valid_users
+from tagloom.functions.exprs import drop_missing, mean
 from tagloom.operators.base import (
     BY_ITEM,
     BY_USER,

@@ -74,7 +74,8 @@ def generators(rng):
     user = lambda: some(rng, 1, 1, 1, 2, 3, 4, 17, None)
     text_user = lambda: some(rng, "0", "1", "1", "2", "3", "", "  ", None)
     order = lambda: some(rng, *["a"] * 6, "b", "c", "d", "e", "f", "missing", None)
-    code = lambda: some(rng, "R1", "R1", "R2", "R3", "N1", "N2", "F1", "M1", "X1", None)
+    codes = ["R1", "R1", "R2", "R3", "N1", "N2", "F1", "M1", "X1", None]
+    code = lambda: some(rng, *codes)
     price = lambda: some(rng, 10.25, 20.5, 30.75, 41.0, -3.5, 0.0, None)
     number = lambda: some(rng, 0, 1, 2, 3, 5, None)
     card = lambda: some(rng, "k1", "k1", "k1", "k2", "k3", "lost", None)

@@ -7,7 +7,6 @@ from conftest import collected
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tagloom import Settings
 from tagloom.functions import exprs
@@ -290,7 +289,12 @@ def test_first_label_wins_and_readers_without_one_stay(tables):
 
 def test_longer_banner_prefix_wins(tables):
     t = tables(
-        tbd_visit_url=[("1", "https://a/x/y"), ("1", "https://a/x"), ("1", "https://b"), (None, "https://a/x")]
+        tbd_visit_url=[
+            ("1", "https://a/x/y"),
+            ("1", "https://a/x"),
+            ("1", "https://b"),
+            (None, "https://a/x"),
+        ]
     )
     banners = {"wide": "https://a/", "narrow": "https://a/x/"}
     assert result("banner_browse", t, banners=banners) == [("1", "narrow", 1), ("1", "wide", 1)]
@@ -453,7 +457,9 @@ def test_averages_survive_keys_without_amounts(spark):
     assert collected(means) == [(1, None, None), (2, 7, 7.5)]
 
 
-@pytest.mark.parametrize("amount, whole", [(2.9, 2), (-2.9, -2), (float("nan"), None), (1e300, None)])
+@pytest.mark.parametrize(
+    "amount, whole", [(2.9, 2), (-2.9, -2), (float("nan"), None), (1e300, None)]
+)
 def test_whole_amounts(spark, amount, whole):
     frame = spark.createDataFrame([(amount,)], "v double")
     assert frame.select(exprs.whole_amount("v")).first()[0] == whole
