@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import mixed, packs, word_bounds, word_hashes
 from tagloom.llm.links import components
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import release, saved
 
 BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
@@ -169,16 +169,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     met = nodes.select("node", F.explode("bands").alias("bucket"))
     leaders = saved(met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last"), "leaders")
-    shared = saved(met.join(leaders, "bucket"), "buckets")
+    pairs = saved(met.join(leaders, "bucket").filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
     sketches = nodes.select("node", "n_shingles", "sketch")
-    tried = saved(_possible(shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), sketches, percent), "pairs")
+    tried = saved(_possible(pairs, sketches, percent), "pairs")
     links = saved(_confirmed(tried, texts, width, percent), "links")
+    release(docs.sparkSession)
     # A document that holds several texts (a repeated doc_id) joins their classes.
     own = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = links.unionByName(own.select(F.col("b").alias("node"), F.col("a").alias("other")))
     labels = components(links)
-    rest = _rest(shared, labels, sketches, percent)
-    more = saved(_confirmed(rest, texts, width, percent), "links")
+    more = saved(_confirmed(saved(_rest(nodes, labels, percent), "pairs"), texts, width, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     found = (
@@ -219,31 +219,28 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.filter(100 * F.col("common") >= percent * union).select("node", "other").distinct()
 
 
-def _rest(shared: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket and did not meet through a leader.
+def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, main``: the buckets that hold several components, and the largest of them."""
+    placed = nodes.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), F.explode("bands").alias("bucket"))
+    return saved(
+        placed.groupBy("bucket", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts"))
+        .filter("parts > 1")
+        .select("bucket", F.col("top.label").alias("main")),
+        "mixed",
+    )
+
+
+def _rest(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket.
 
     In each such bucket the members outside its largest component meet the others.
     """
-    placed = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    per_label = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    several = saved(
-        per_label.groupBy("bucket")
-        .agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("size"))
-        .filter("parts > 1 and size > 2")
-        .select("bucket", F.col("top.label").alias("main")),
-        "several",
-    )
-    open_ = saved(placed.join(several, "bucket").join(sketches, "node"), "open")
-    few = open_.filter("label <> main").select(
-        "bucket", "node", F.col("label").alias("label_a"), "main", F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a")
-    )
-    all_ = open_.select(
-        "bucket", F.col("node").alias("other"), F.col("label").alias("label_b"), "leader", F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b")
-    )
-    new = (
-        (F.col("label_a") != F.col("label_b"))
-        & (F.col("other") != F.col("leader"))
-        & (F.col("node") != F.col("leader"))
-        & ((F.col("label_b") == F.col("main")) | (F.col("node") < F.col("other")))
-    )
+    own = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = saved(own.select("node", "label", "n_shingles", "sketch", F.explode("bands").alias("bucket")).join(_mixed(nodes, labels), "bucket"), "open")
+    few = open_.filter("label <> main").select("bucket", "node", F.col("label").alias("label_a"), "main", F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
+    all_ = open_.select("bucket", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+    new = (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("node") < F.col("other")))
     return few.join(all_, "bucket").filter(new & _near(percent)).select("node", "other").distinct()

@@ -16,7 +16,6 @@ and different in the span goes on, one row for each different span.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import FLAT_BYTES, FlatHash, mixed
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import release, saved
 
 LENGTH = 200
 GRAM = 32
 QUARTERS = 4
-PLACE = ("doc", "text_a", "text_b", "start", "last", "anchor")
-RUN = "doc long, text_a long, text_b long, start int, last int, anchor int, digit long, inside long, span long, weight long"
+PLACE = ("doc", "text_a", "start", "last", "anchor")
+RUN = "doc long, text_a long, start int, last int, anchor int, digit long, inside long, span long, weight long"
 #: Window starts of a document that are worked on at once.
 PIECE = 1 << 20
 _POSITION = np.uint64((1 << 22) - 1)
@@ -42,6 +41,11 @@ def text_keys() -> list[Column]:
     return [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit(1), F.col("text")).alias("text_b")]
 
 
+def _names() -> list[Column]:
+    """What tells a text from all others: its document and a hash, for a doc_id may repeat."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), text_keys()[0]]
+
+
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` neighbouring numbers, by their first."""
     n = len(x) - width + 1
@@ -75,7 +79,7 @@ def runs_of(length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or b"" for x in batch.column("data").to_pylist()]
-            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "text_a", "text_b")]
+            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "text_a")]
             for pack in _pieces(texts, length):
                 flat = np.frombuffer(b"".join(p for _, _, p in pack), dtype=np.uint8)
                 hashes = FlatHash(flat)
@@ -99,7 +103,7 @@ def runs_of(length: int):
                 span = mixed(hashes.of(first, last + length) + (anchor - first).astype(np.uint64))
                 yield pa.record_batch(
                     {
-                        **{c: pa.array(k[rows]) for c, k in zip(("doc", "text_a", "text_b"), keys)},
+                        **{c: pa.array(k[rows]) for c, k in zip(("doc", "text_a"), keys)},
                         "start": pa.array((first + shift).astype(np.int32)),
                         "last": pa.array((last + shift).astype(np.int32)),
                         "anchor": pa.array((anchor + shift).astype(np.int32)),
@@ -140,7 +144,7 @@ def quarters_of(length: int):
                 span = mixed(hashes.of(at + low, at + high + length) + (anchor - low).astype(np.uint64))
                 yield pa.record_batch(
                     {
-                        **{n: pa.array(c[n][some]) for n in ("doc", "text_a", "text_b")},
+                        **{n: pa.array(c[n][some]) for n in ("doc", "text_a")},
                         "start": pa.array(low.astype(np.int32)),
                         "last": pa.array(high.astype(np.int32)),
                         "anchor": pa.array(anchor.astype(np.int32)),
@@ -167,7 +171,7 @@ def suffixes_of(length: int):
             at = (begins - c["run"])[row] + start
             yield pa.record_batch(
                 {
-                    **{n: pa.array(c[n][row]) for n in ("doc", "text_a", "text_b")},
+                    **{n: pa.array(c[n][row]) for n in ("doc", "text_a")},
                     "start": pa.array(start.astype(np.int32)),
                     "digit": pa.array(c["digit"][row]),
                     "whole": pa.array(mixed(hashes.of(at, at + length) + (c["anchor"][row] - start).astype(np.uint64)).view(np.int64)),
@@ -185,7 +189,8 @@ def _pass(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         items.groupBy(*digit, "span").agg(F.sum("weight").alias("weight"), F.min(F.struct(*PLACE, *_extra(items))).alias("at")),
         f"{name}-spans",
     )
-    repeated = items.join(spans.filter("weight > 1").select(*digit, "span"), [*digit, "span"]).select("text_a", "text_b", "start", "last")
+    release(items.sparkSession)
+    repeated = items.join(spans.filter("weight > 1").select(*digit, "span"), [*digit, "span"]).select("doc", "text_a", "start", "last")
     open_digits = saved(
         spans.groupBy(*digit)
         .agg(F.count("*").alias("n"), F.min("weight").alias("least"))
@@ -202,15 +207,15 @@ def _extra(items: DataFrame) -> list[str]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``text_a, text_b, spans``: per text with repeats, its repeated runs as array of (start, last).
+    """``doc, text_a, spans``: per document and text with repeats, its repeated runs as array of (start, last).
 
     A run stands for the strings that begin at its starts; it covers [start, last + length).
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"), *text_keys(), F.col("text").cast("binary").alias("data"))
+    texts = docs.select(*_names(), F.col("text").cast("binary").alias("data"))
     texts = texts.filter(F.octet_length("data") >= length)
     runs = saved(texts.mapInArrow(runs_of(length), RUN), "runs")
     whole_runs, deeper = _pass(runs, "runs")
-    keys = ["doc", "text_a", "text_b"]
+    keys = ["doc", "text_a"]
     wanted = saved(
         deeper.groupBy(keys).agg(F.collect_set(F.struct("start", "last", "anchor", "digit", "weight")).alias("runs")),
         "wanted",
@@ -226,19 +231,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         texts.join(wanted, keys).select(*keys, F.explode(context).alias("r")).select(*keys, "r.*"),
         "contexts",
     )
+    release(docs.sparkSession)
     quarters = saved(contexts.mapInArrow(quarters_of(length), f"{RUN}, run int"), "quarters")
     whole_quarters, deeper = _pass(quarters, "quarters")
     base = contexts.select(*keys, F.col("start").alias("run"), "context").dropDuplicates([*keys, "run"])
     suffixes = saved(
         deeper.join(base, [*keys, "run"])
         .select(*keys, "start", "last", "anchor", "run", "digit", "weight", "context")
-        .mapInArrow(suffixes_of(length), "doc long, text_a long, text_b long, start int, digit long, whole long, weight long"),
+        .mapInArrow(suffixes_of(length), "doc long, text_a long, start int, digit long, whole long, weight long"),
         "suffixes",
     )
     equal = saved(suffixes.groupBy("digit", "whole").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"), "equal")
-    single = suffixes.join(equal, ["digit", "whole"]).select("text_a", "text_b", "start", F.col("start").alias("last"))
+    release(docs.sparkSession)
+    single = suffixes.join(equal, ["digit", "whole"]).select("doc", "text_a", "start", F.col("start").alias("last"))
     found = whole_runs.unionByName(whole_quarters).unionByName(single)
-    return found.groupBy("text_a", "text_b").agg(F.collect_set(F.struct("start", "last")).alias("spans"))
+    return found.groupBy(keys).agg(F.collect_set(F.struct("start", "last")).alias("spans"))
 
 
 def merged(spans: list, length: int) -> list[tuple[int, int]]:
@@ -297,11 +304,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, whole_characters: boo
     outside ``carry`` are ignored, whatever their names.
     """
     spans = saved(repeated_spans(docs, length), "spans")
-    rows = docs.select(*carry, *text_keys(), F.col("text").cast("binary").alias("data"))
-    rows = rows.join(spans, ["text_a", "text_b"], "left").select(*carry, F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("n_bytes"), "data", "spans")
+    release(docs.sparkSession)
+    rows = docs.select(*carry, *_names(), F.col("text").cast("binary").alias("data"))
+    rows = rows.join(spans, ["doc", "text_a"], "left").select(*carry, F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("n_bytes"), "data", "spans")
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("data", "spans")]
     return rows.mapInArrow(_cut(length, whole_characters), ", ".join([*kinds, "kept_bytes binary", "n_removed long", "n_spans long"]))
-
-
-def digest(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,3 +29,9 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     path = fresh_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of what is written by now; it waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
