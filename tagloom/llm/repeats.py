@@ -190,7 +190,8 @@ def _pass(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         f"{name}-spans",
     )
     release(items.sparkSession)
-    repeated = items.join(spans.filter("weight > 1").select(*digit, "span"), [*digit, "span"]).select("doc", "text_a", "start", "last")
+    repeated = saved(items.join(spans.filter("weight > 1").select(*digit, "span"), [*digit, "span"]).select("doc", "text_a", "start", "last"), f"{name}-repeated")
+    release(items.sparkSession)
     open_digits = saved(
         spans.groupBy(*digit)
         .agg(F.count("*").alias("n"), F.min("weight").alias("least"))
@@ -243,7 +244,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     equal = saved(suffixes.groupBy("digit", "whole").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"), "equal")
     release(docs.sparkSession)
-    single = suffixes.join(equal, ["digit", "whole"]).select("doc", "text_a", "start", F.col("start").alias("last"))
+    single = saved(suffixes.join(equal, ["digit", "whole"]).select("doc", "text_a", "start", F.col("start").alias("last")), "single")
+    release(docs.sparkSession)
     found = whole_runs.unionByName(whole_quarters).unionByName(single)
     return found.groupBy(keys).agg(F.collect_set(F.struct("start", "last")).alias("spans"))
 
