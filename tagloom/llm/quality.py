@@ -164,15 +164,12 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     rows = rows.withColumn("class_divergence", class_divergence).withColumn("word_divergence", word_divergence)
     rows = rows.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
     usual = (F.coalesce("class_divergence", F.lit(0.0)) <= rules.max_class_divergence) & (F.coalesce("word_divergence", F.lit(0.0)) <= rules.max_word_divergence)
-    rows = rows.withColumn("kept", ~F.col("base_failed") & usual)
+    # The row number changes nothing; it keeps the optimizer from moving a later test of these columns
+    # below the columns that they are made of, where each use of a histogram would compute it anew.
+    rows = rows.withColumn("kept", ~F.col("base_failed") & usual & (F.monotonically_increasing_id() >= 0))
     return rows.select("_row.*", F.struct(*MEASURES).alias("_quality"))
 
 
 def accepted(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps.
-
-    The row number is not used; it keeps the optimizer from moving the test below the columns that it
-    is made of, where each use of a histogram would compute it anew.
-    """
-    rows = judged(docs, rules).select(*(f"`{c}`" for c in docs.columns), F.col("_quality.kept").alias("_kept"), F.monotonically_increasing_id().alias("_number"))
-    return rows.filter("_kept and _number >= 0").drop("_kept", "_number")
+    """The rows of ``docs`` that ``judged`` keeps."""
+    return judged(docs, rules).filter("_quality.kept").drop("_quality")
