@@ -157,7 +157,7 @@ METRIC_SQL: dict[str, str] = {
            count(*) consumption_num""" + REST_LINES.format(price="cprice") + " group by all",
     "rest_avg_amount": """
     select cast(o.user_id as varchar) user_id, d.fd_restaurant_code item_code,
-           sum(d.xfprice) / count(*) average_order_amount"""
+           cast(sum(cast(d.xfprice as decimal(18,2))) as double) / count(*) average_order_amount"""
     + REST_LINES.format(price="xfprice")
     + " group by all",
     "rest_multitime": f"""
@@ -230,7 +230,7 @@ METRIC_SQL: dict[str, str] = {
     + " group by all",
     "rest_avg_amount_tag": """
     select cast(o.user_id as varchar) user_id,
-           cast(trunc(sum(d.xfprice) / count(*)) as bigint) rest_average_order_amount_int"""
+           cast(trunc(cast(sum(cast(d.xfprice as decimal(18,2))) as double) / count(*)) as bigint) rest_average_order_amount_int"""
     + REST_LINES.format(price="xfprice")
     + " group by all",
     "rest_multitime_tag": f"""

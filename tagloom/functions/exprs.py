@@ -95,9 +95,15 @@ def epoch_seconds(column: str, zone: str) -> Column:
     return F.when(shaped, F.unix_seconds(instant))
 
 
+def exact(amount: Column | str) -> Column:
+    """A price as a decimal, so that its sum does not depend on the order of the rows."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return amount.cast("decimal(18,2)")
+
+
 def mean(amount: str, number: str) -> Column:
-    """Average of added-up amounts: total over total number, NULL when there are none."""
-    return F.sum(amount) / F.nullif(F.sum(number), F.lit(0))
+    """Average of exactly added-up amounts: total over total number, NULL when there are none."""
+    return F.sum(amount).cast("double") / F.nullif(F.sum(number), F.lit(0))
 
 
 def truncated_mean(amount: str, number: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom import settings as fixed
-from tagloom.functions.exprs import drop_missing, mean
+from tagloom.functions.exprs import drop_missing, exact, mean
 from tagloom.operators.base import (
     BY_ITEM,
     BY_USER,
@@ -66,7 +66,7 @@ def consumption(tables: Tables, by: tuple[str, ...], name: str) -> DataFrame:
 def payments(tables: Tables, by: tuple[str, ...]) -> DataFrame:
     """Paid prices and their number per order (and restaurant)."""
     lines = order_lines(tables, "xfprice")
-    return user_orders(tables, lines, *by[1:], paid=F.sum("xfprice"), lines=rows())
+    return user_orders(tables, lines, *by[1:], paid=F.sum(exact("xfprice")), lines=rows())
 
 
 def average_amount(tables: Tables) -> DataFrame:

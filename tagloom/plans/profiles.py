@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tagloom import settings as fixed
 from tagloom.functions.exprs import (
     article_id,
+    exact,
     has_prefix,
     mean,
     text_user,
@@ -59,7 +60,7 @@ def restaurant_orders(tables: Tables) -> DataFrame:
         "order_day",
         orders=F.count_if(priced),
         payments=F.count_if(paid),
-        paid=F.sum(F.when(paid, F.col("xfprice"))),
+        paid=F.sum(F.when(paid, exact("xfprice"))),
     )
     sums = [F.sum(name).alias(name) for name in ("orders", "payments", "paid")]
     return text_user(orders).groupBy(*BY_ITEM, "order_day").agg(*sums)

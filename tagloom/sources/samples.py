@@ -52,7 +52,7 @@ VIEWS: dict[str, str] = {
         select cast(l_orderkey as string) fd_code,
                concat('R', cast(l_suppkey as string)) fd_restaurant_code,
                o_orderdate ordertime, l_extendedprice cprice,
-               cast(floor(l_extendedprice*(1-l_discount)) as double) xfprice, p_type fd_class
+               cast(floor(l_extendedprice*(1-l_discount)*100)/100 as double) xfprice, p_type fd_class
         from {lineitem} join {orders} on l_orderkey=o_orderkey join {part} on l_partkey=p_partkey""",
     "itd_restaurant": """
         select concat('R', cast(s_suppkey as string)) fd_code,
@@ -131,13 +131,15 @@ VIEWS: dict[str, str] = {
     "tbd_visit_url": """
         select case when event_id % 40 = 0 then null else cast(user_id as string) end user_id,
                case event_id % 4
-                    when 0 then concat('https://m.example.org/institute/',
-                                       cast(cast(floor(event_id / 4) as bigint) % 50 as string),
+                    when 0 then concat('https://m.example.org/institute/', cast(page as string),
                                        '?src=feed')
                     when 1 then 'https://activity.example.org/newest/a'
                     when 2 then 'https://activity.example.org/lucky/b?x=1'
                     else url end url
-        from {events} join {pages} on event_id % 50 = page_id""",
+        from (select event_id, user_id,
+                     cast(floor(event_id / 4) as bigint) % (select count(*) from {pages}) page
+              from {events}) visit
+        join {pages} on page = page_id""",
     "tbd_belles_lettres": """
         select cast(page_id as string) id,
                case page_id % 6 when 0 then '商旅出行,十一' when 1 then '学生/背包客'
@@ -147,7 +149,8 @@ VIEWS: dict[str, str] = {
     "tbd_lettres_favor": """
         select cast(user_id as string) user_id,
                case when event_id % 30 = 0 then null
-                    else cast(event_id % 50 as string) end lettres_id
+                    else cast(cast(floor(event_id / 4) as bigint)
+                              % (select count(*) from {pages}) as string) end lettres_id
         from {events} where event_type='click'""",
     "tb_order_cip": """
         select cast(o_orderkey as string) order_no,
