@@ -1,26 +1,30 @@
 """Token counts without ids: pieces are counted once per distinct pre-token of the corpus.
 
 A pre-token is a stretch between ASCII white space; the tokenizer drops white space and joins nothing
-across it. Pre-tokens with more than a 2**-20 share of all occurrences are at most 2**20, so their
-counts are broadcast, whatever the corpus; occurrences of the others, which no key dominates, are
-joined by shuffle.
+across it. Tasks count the pre-tokens of each text, so a join meets one row per text and distinct
+pre-token. Pre-tokens with more than a 2**-20 share of all occurrences are at most 2**20, so their
+counts are broadcast, whatever the corpus; long ones go by their SHA-256. Occurrences of the others,
+which no key dominates, are joined by shuffle.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.repeats import text_keys
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import release, saved
 from tagloom.llm.vocabulary import words_of
 
-#: At most this many pre-tokens, of at most so many bytes each, are broadcast.
-FREQUENT, FREQUENT_BYTES = 1 << 20, 48
-WHITE = r"[\x20\x09-\x0D]+"
+#: At most this many pre-tokens are broadcast; names of more bytes than this are hashed.
+FREQUENT, NAME_BYTES = 1 << 20, 48
+#: Distinct pre-tokens that a task holds at once; it hands out what it has and goes on.
+HELD = 1 << 18
 
 
 def _pieces(path: str):
@@ -33,9 +37,59 @@ def _pieces(path: str):
     return work
 
 
+def _strings(tokens) -> pa.Array:
+    return pa.array(tokens, pa.binary()).cast(pa.string())
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pre-tokens of the task with their occurrences, in parts."""
+    counts: Counter = Counter()
+    for batch in batches:
+        for data in batch.column("data"):
+            counts.update(data.as_py().split())
+            if len(counts) > HELD:
+                yield pa.record_batch({"pretoken": _strings(counts.keys()), "n": pa.array(counts.values(), pa.int64())})
+                counts.clear()
+    if counts:
+        yield pa.record_batch({"pretoken": _strings(counts.keys()), "n": pa.array(counts.values(), pa.int64())})
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pre-tokens of each text with their occurrences in it."""
+    for batch in batches:
+        keys = {c: batch.column(c).to_numpy() for c in ("text_a", "text_b")}
+        texts = batch.column("data")
+        rows: list[int] = []
+        sizes: list[int] = []
+        tokens: list[bytes] = []
+        counts: list[int] = []
+        for row in range(len(texts)):
+            found = Counter(texts[row].as_py().split())
+            rows.append(row)
+            sizes.append(len(found))
+            tokens.extend(found)
+            counts.extend(found.values())
+            if len(tokens) > HELD or row + 1 == len(texts):
+                own = np.repeat(rows, sizes).astype(np.int64)
+                yield pa.record_batch({**{c: pa.array(k[own]) for c, k in keys.items()}, "pretoken": _strings(tokens), "n": pa.array(counts, pa.int64())})
+                rows, sizes, tokens, counts = [], [], [], []
+
+
 def pretokens(docs: DataFrame) -> DataFrame:
-    """One row per occurrence: ``text_a, text_b, pretoken``."""
-    return docs.select(*text_keys(), F.explode(F.split("text", WHITE)).alias("pretoken")).filter("pretoken <> ''")
+    """``pretoken, n`` over all of ``docs``."""
+    texts = docs.filter("text is not null").select(F.col("text").cast("binary").alias("data"))
+    return texts.mapInArrow(_tally, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
+
+
+def frequencies(docs: DataFrame) -> DataFrame:
+    """``text_a, text_b, pretoken, n`` per row of ``docs`` and distinct pre-token of its text."""
+    texts = docs.filter("text is not null").select(*text_keys(), F.col("text").cast("binary").alias("data"))
+    return texts.mapInArrow(_frequencies, "text_a long, text_b long, pretoken string, n long")
+
+
+def _name() -> Column:
+    """The pre-token, or a blank and its hash if it is long; a pre-token has no blank."""
+    return F.when(F.octet_length("pretoken") <= NAME_BYTES, F.col("pretoken")).otherwise(F.concat(F.lit(" "), F.sha2("pretoken", 256)))
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
@@ -44,19 +98,19 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     Null, empty and blank texts have no tokens. Counts belong to texts, so repeated rows and doc_ids do
     no harm. An empty table gives an empty result. Further columns are ignored.
     """
-    occurrences = pretokens(docs)
-    distinct = occurrences.groupBy("pretoken").agg(F.count("*").alias("n"))
-    counted = saved(distinct.mapInArrow(_pieces(path), "pretoken string, n long, pieces long"), "pretokens")
+    counted = pretokens(docs).mapInArrow(_pieces(path), "pretoken string, n long, pieces long")
+    counted = saved(counted.select(_name().alias("name"), "n", "pieces"), "pretokens")
+    release(docs.sparkSession)
     total = counted.agg(F.sum("n")).first()[0] or 0
-    frequent = (F.col("n") * FREQUENT > total) & (F.octet_length("pretoken") <= FREQUENT_BYTES)
-    known = counted.filter(frequent).select("pretoken", F.col("pieces").alias("known"))
-    rare = counted.filter(~frequent).select("pretoken", "pieces")
-    seen = occurrences.join(F.broadcast(known), "pretoken", "left")
+    frequent = F.col("n") * FREQUENT > total
+    known = counted.filter(frequent).select("name", F.col("pieces").alias("known"))
+    rare = counted.filter(~frequent).select("name", "pieces")
     keys = ["text_a", "text_b"]
-    by_text = seen.groupBy(keys).agg(F.sum("known").alias("n"))
-    others = seen.filter("known is null").select(*keys, "pretoken").join(rare, "pretoken").groupBy(keys).agg(F.sum("pieces").alias("n"))
+    seen = frequencies(docs).select(*keys, _name().alias("name"), "n").join(F.broadcast(known), "name", "left")
+    by_text = seen.groupBy(keys).agg(F.sum(F.col("n") * F.col("known")).alias("sum"))
+    others = seen.filter("known is null").select(*keys, "name", "n").join(rare, "name").groupBy(keys).agg(F.sum(F.col("n") * F.col("pieces")).alias("sum"))
+    both = by_text.unionByName(others).groupBy(keys).agg(F.sum("sum").alias("n"))
     copies = docs.select(*text_keys()).groupBy(keys).agg(F.count("*").alias("copies"))
-    sums = by_text.unionByName(others).groupBy(keys).agg(F.sum("n").alias("n"))
-    totals = saved(copies.join(sums, keys, "left").select(*keys, (F.coalesce("n", F.lit(0)) / F.col("copies")).cast("long").alias("n_tokens")), "totals")
+    totals = saved(copies.join(both, keys, "left").select(*keys, (F.coalesce("n", F.lit(0)) / F.col("copies")).cast("long").alias("n_tokens")), "totals")
     rows = docs.select("doc_id", *text_keys(), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return rows.join(totals, keys).select("doc_id", "n_bytes", "n_tokens")
