@@ -1,6 +1,6 @@
 """Command line: run one job or profile and store its result.
 
-    spark-submit --py-files ... -m tagloom JOB --tables ROOT --out PATH
+    spark-submit run_tagloom.py JOB --tables ROOT --out PATH
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.operators.base import BY_ITEM, BY_USER
 from tagloom.plans.metrics import EXTRACTS, ITEM_FACTS, METRICS, USER_TAGS
 from tagloom.plans.profiles import PROFILES, assemble
-from tagloom.session import batch_session
+from tagloom.session import batch_session, size_shuffles
 from tagloom.settings import Settings
 from tagloom.sinks.files import write_extract, write_tuples
 from tagloom.sinks.profile import as_documents, upsert_profile, write_index
-from tagloom.sources.jdbc import jdbc_tables
+from tagloom.sources.jdbc import configured_tables
 from tagloom.sources.samples import sample_tables
 from tagloom.sources.tables import catalog_tables, parquet_tables, text_lines, with_browse_hours
 
@@ -81,12 +81,7 @@ def tables_from(spark: SparkSession, args: argparse.Namespace) -> Callable[[str]
     elif args.sample:
         tables = sample_tables(spark, args.sample)
     else:
-        listed = json.loads(Path(args.jdbc).read_text())
-        connections = {
-            number: (entry["url"], entry.get("properties", {}))
-            for number, entry in enumerate(listed, start=1)
-        }
-        tables = jdbc_tables(spark, connections)
+        tables = configured_tables(spark, json.loads(Path(args.jdbc).read_text()), args.job)
     if args.browse_hours:
         tables = with_browse_hours(tables, text_lines(spark, args.browse_hours))
     return tables
@@ -115,7 +110,7 @@ def parser() -> argparse.ArgumentParser:
     source = options.add_mutually_exclusive_group(required=True)
     source.add_argument("--tables", help="root folder of Parquet tables")
     source.add_argument("--database", help="metastore database")
-    source.add_argument("--jdbc", help="JSON file: list of up to three {url, properties}")
+    source.add_argument("--jdbc", help="JSON file: connections, splits (see configured_tables)")
     source.add_argument("--sample", help="folder with the star-schema test data")
     options.add_argument("--browse-hours", help="tuple text with the browse hours")
     options.add_argument("--settings", help="JSON file with Settings fields")
@@ -134,4 +129,6 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = batch_session(f"tagloom {args.job}", args.shuffle_bytes, args.zone)
     result = run(args.job, tables_from(spark, args), settings_from(args.settings))
+    if args.shuffle_bytes is None:
+        size_shuffles(spark, result)
     store(spark, args.job, result, args)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 
@@ -19,10 +19,22 @@ ADAPTIVE = {
 BROADCAST_LIMIT = 32 * MIB
 
 
-# Without a size the shuffles start wide; AQE merges what turns out small.
+# Where no size is known the shuffles start wide; AQE merges what turns out small.
 DEFAULT_PARTITIONS = 2000
 LEAST_PARTITIONS = 8
 
+# Beyond this many pieces the pieces grow instead: 100 TB are cut into pieces of 0.5 GB.
+MOST_PARTITIONS = 200_000
+PIECE = 128 * MIB
+
+# A plan without a better estimate (a JDBC table) claims to be this large or larger.
+NO_ESTIMATE = 1 << 62
+
+
+def partitions_for(shuffle_bytes: int) -> int:
+    """Pieces of about ``PIECE`` bytes, at least 8 and at most ``MOST_PARTITIONS``."""
+    return min(MOST_PARTITIONS, max(LEAST_PARTITIONS, -(-shuffle_bytes // PIECE)))
+
 
 def batch_conf(shuffle_bytes: int | None = None, zone: str = "UTC") -> dict[str, str]:
     """Settings for one run.
@@ -31,9 +43,7 @@ def batch_conf(shuffle_bytes: int | None = None, zone: str = "UTC") -> dict[str,
     of about 128 MiB, so that one fits the memory of a task. ``zone`` decides which day an order
     time with a zone belongs to; times without a zone are taken as they are.
     """
-    partitions = DEFAULT_PARTITIONS
-    if shuffle_bytes is not None:
-        partitions = max(LEAST_PARTITIONS, -(-shuffle_bytes // (128 * MIB)))
+    partitions = DEFAULT_PARTITIONS if shuffle_bytes is None else partitions_for(shuffle_bytes)
     return {
         **ADAPTIVE,
         "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT),
@@ -44,6 +54,20 @@ def batch_conf(shuffle_bytes: int | None = None, zone: str = "UTC") -> dict[str,
     }
 
 
+def read_bytes(result: DataFrame) -> int | None:
+    """Catalyst's estimate of what a plan reads, each scan counted; None where a scan has none."""
+    leaves = result._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(size >= NO_ESTIMATE for size in sizes) else sum(sizes)
+
+
+def size_shuffles(spark: SparkSession, result: DataFrame) -> None:
+    """Cut the shuffles of ``result`` by the bytes its plan reads, before it runs."""
+    expected = read_bytes(result)
+    if expected is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions_for(expected)))
+
+
 def batch_session(
     name: str, shuffle_bytes: int | None = None, zone: str = "UTC"
 ) -> SparkSession:

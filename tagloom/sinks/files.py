@@ -17,8 +17,13 @@ def write_tuples(df: DataFrame, path: str) -> None:
 
 
 def write_extract(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Typed Parquet, laid out by the column later reads select on."""
-    writer = df.write.mode("errorifexists")
+    """Typed Parquet, laid out by the column later reads select on.
+
+    Rows are brought together first, so that the number of files follows the bytes and not the
+    tasks of the scan; a partition with very many rows is written by several tasks.
+    """
+    columns = () if partition is None else (partition,)
+    writer = df.hint("rebalance", *columns).write.mode("errorifexists")
     if partition is not None:
         writer = writer.partitionBy(partition)
     writer.parquet(path)

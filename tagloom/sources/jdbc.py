@@ -123,3 +123,61 @@ def jdbc_tables(
         return only_declared(name, df)
 
     return remembered(load)
+
+
+# Jobs that read a table through another connection than the table's usual one.
+SERVICES = ("cip", "vvip", "parking", "car")
+SERVICE_CONNECTIONS = {"tb_order": 3}
+PRIORITY_CONNECTIONS = {"itd_restaurant": 3}
+
+# Scans of the page-path log that fetch just the pages a job keeps, one query per part.
+JOB_SPLITS: dict[str, dict[str, list[str]]] = {
+    "path_range_extract": {"tbd_app_opera_path": page_predicates()},
+    "path_tail_extract": {"tbd_app_opera_path": tail_predicates()},
+}
+
+# Rows fetched at once, so that a driver does not hold a whole result.
+FETCH_SIZE = 10_000
+
+
+def job_connections(job: str) -> dict[str, int]:
+    """Connections that a job uses instead of ``CONNECTION_OF_TABLE``."""
+    if job == "restaurant_priority":
+        return dict(PRIORITY_CONNECTIONS)
+    if job.removeprefix("profile_").split("_")[0] in SERVICES:
+        return dict(SERVICE_CONNECTIONS)
+    return {}
+
+
+def split_from(given: Mapping | Sequence[str]) -> RangeScan | list[str]:
+    """A split as JSON has it: {column, lower, upper, partitions} or a list of predicates."""
+    return RangeScan(**given) if isinstance(given, Mapping) else list(given)
+
+
+def configured_tables(
+    spark: SparkSession, config: Mapping | Sequence[Mapping], job: str
+) -> Callable[[str], DataFrame]:
+    """``jdbc_tables`` for one job from parsed JSON.
+
+    ``config`` is a list of {url, properties}, or an object with that list as ``connections``
+    and, as wanted, ``splits`` and ``connection_of`` by table and ``fetchsize``. What it says
+    goes before the job's own splits and connections. Unknown keys and tables are refused.
+    """
+    if not isinstance(config, Mapping):
+        config = {"connections": config}
+    splits, chosen = config.get("splits", {}), config.get("connection_of", {})
+    unknown = set(config) - {"connections", "splits", "connection_of", "fetchsize"}
+    unknown |= (set(splits) | set(chosen)) - set(CONNECTION_OF_TABLE)
+    for entry in config["connections"]:
+        unknown |= set(entry) - {"url", "properties"}
+    if unknown:
+        raise ValueError(f"unknown in the JDBC settings: {', '.join(sorted(unknown))}")
+    fetch = {"fetchsize": str(config.get("fetchsize", FETCH_SIZE))}
+    connections = {
+        number: (entry["url"], {**fetch, **entry.get("properties", {})})
+        for number, entry in enumerate(config["connections"], start=1)
+    }
+    scans = {**JOB_SPLITS.get(job, {}), **{name: split_from(s) for name, s in splits.items()}}
+    return jdbc_tables(
+        spark, connections, scans, {**CONNECTION_OF_TABLE, **job_connections(job), **chosen}
+    )

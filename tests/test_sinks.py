@@ -98,6 +98,20 @@ def test_extracts_are_laid_out_by_page(spark, tmp_path):
     ]
 
 
+def test_extract_files_follow_the_bytes(spark, conf, tmp_path):
+    log = spark.range(0, 40000, 1, 8).selectExpr("xxhash64(id) id", "if(id % 10 = 0, 19L, 18L) page_order")
+
+    def files(path):
+        return [len(list((tmp_path / path / f"page_order={p}").glob("*.parquet"))) for p in (18, 19)]
+
+    write_extract(log, f"{tmp_path}/few", "page_order")
+    assert files("few") == [1, 1]
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64k")
+    write_extract(log, f"{tmp_path}/hot", "page_order")
+    assert files("hot")[0] > 1
+    assert spark.read.parquet(f"{tmp_path}/hot").count() == 40000
+
+
 def test_one_key_is_written_to_its_bucket_by_several_tasks(spark):
     spark.sql("create database if not exists placed")
     hot = spark.range(0, 4000, 1, 8).select(F.lit("a").alias("order_no"), "id")
@@ -127,9 +141,24 @@ def test_shuffles_are_cut_to_their_size():
     sized = batch_conf(shuffle_bytes=5 * 1024**4)
     assert sized["spark.sql.shuffle.partitions"] == str(5 * 1024**4 // (128 * 1024**2))
     assert batch_conf(0)["spark.sql.shuffle.partitions"] == "8"
+    assert batch_conf(100 * 1000**4)["spark.sql.shuffle.partitions"] == "200000"
     assert batch_conf(zone="Asia/Shanghai")["spark.sql.session.timeZone"] == "Asia/Shanghai"
 
 
+def test_shuffles_follow_what_the_plan_reads(spark, conf, tmp_path, monkeypatch):
+    conf(spark__sql__shuffle__partitions="77")
+    spark.range(0, 100000, 1, 4).write.parquet(f"{tmp_path}/t")
+    read = spark.read.parquet(f"{tmp_path}/t")
+    one = session.read_bytes(read)
+    assert one > 100000
+    assert session.read_bytes(read.join(read.filter("id > 5"), "id")) >= 2 * one
+    monkeypatch.setattr(session, "PIECE", one // 20)
+    session.size_shuffles(spark, read.groupBy("id").count())
+    assert 20 <= int(spark.conf.get("spark.sql.shuffle.partitions")) <= 22
+    monkeypatch.setattr(session, "NO_ESTIMATE", 1)
+    assert session.read_bytes(read) is None
+
+
 @pytest.fixture(autouse=True)
 def small_shuffles(monkeypatch):
     """The command line sizes its session for a cluster; the tests run on a few rows."""

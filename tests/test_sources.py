@@ -130,6 +130,53 @@ def test_jdbc_tables_pick_connection_split_and_positions(spark):
     ]
 
 
+def test_jdbc_settings_reach_the_scans(spark):
+    fake = FakeSpark({name: spark.createDataFrame([], schema(name)) for name in SCHEMAS})
+    listed = [{"url": f"jdbc:{n}", "properties": {"user": "u"}} for n in (1, 2, 3)]
+    config = {
+        "connections": listed,
+        "splits": {
+            "tbd_app_opera_path": {"column": "id", "lower": 1, "upper": 99, "partitions": 5},
+            "tb_order_cip": ["order_no < 'm'", "order_no >= 'm'"],
+        },
+        "connection_of": {"tb_order_cip": 2},
+        "fetchsize": 7,
+    }
+    tables = jdbc.configured_tables(fake, config, "cip_consumption")
+    for name in ("tbd_app_opera_path", "tb_order_cip", "tb_order"):
+        tables(name)
+    (u1, _, path), (u2, _, cip), (u3, _, orders) = fake.read.calls
+    assert (u1, u2, u3) == ("jdbc:2", "jdbc:2", "jdbc:3")
+    assert (path["column"], path["numPartitions"]) == ("id", 5)
+    assert len(cip["predicates"]) == 2
+    assert orders == {"properties": {"fetchsize": "7", "user": "u"}}
+
+    fake.read.calls.clear()
+    jdbc.configured_tables(fake, listed, "path_tail_extract")("tbd_app_opera_path")
+    assert fake.read.calls[0][2]["predicates"] == jdbc.tail_predicates()
+
+
+@pytest.mark.parametrize(
+    "config",
+    [
+        {"connections": [], "split": {}},
+        {"connections": [], "splits": {"orders": []}},
+        {"connections": [{"url": "x", "user": "u"}]},
+    ],
+)
+def test_unknown_jdbc_settings_are_refused(spark, config):
+    with pytest.raises(ValueError, match="unknown in the JDBC settings"):
+        jdbc.configured_tables(spark, config, "cip_usage")
+
+
+def test_jobs_choose_their_connections():
+    assert jdbc.job_connections("restaurant_priority") == {"itd_restaurant": 3}
+    for job in ("cip_usage_tag", "car_consumption_tag", "profile_parking", "vvip_browse_tag"):
+        assert jdbc.job_connections(job) == {"tb_order": 3}
+    for job in ("rest_consumption", "profile_user_tags", "lounge_usage"):
+        assert jdbc.job_connections(job) == {}
+
+
 def test_every_table_but_the_text_has_a_connection():
     assert set(jdbc.CONNECTION_OF_TABLE) == set(SCHEMAS) - {"browse_hours"}
 
