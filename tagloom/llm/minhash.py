@@ -6,8 +6,15 @@ estimate the similarity of a candidate pair, corrected for chance collisions. Pa
 the threshold are confirmed on their full shingle sets.
 
 A bucket is never expanded into all its pairs. Its members meet one leader first; what the links
-join is one component. Only where a bucket then still holds several components do the members
-outside its largest component meet all members of other components, so no link is lost.
+join is one component. Where a bucket then still holds several components, the members that
+resemble the root of its largest component become that root's family, and the few others meet the
+bucket's members of other components.
+
+In a family a set is its difference D from the shingles that most members have. Two sets are linked
+exactly if E(a) + E(b) <= 2 * (100 + percent) * |D(a) & D(b)|, with E = (100 + percent) * |D| -
+(100 - percent) * n_shingles. Pairs without a common difference therefore need E(a) + E(b) <= 0, and
+then both are linked with the member of least E; the other pairs share a difference and are found
+by a join on the rarest differences of each. So a group of near copies costs its differences, not its pairs.
 Two classes at the threshold share no band with a probability under 1e-7.
 """
 
@@ -17,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import mixed, packs, word_bounds, word_hashes
@@ -32,6 +39,8 @@ SHIFTS = _random.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
 BAND_FACTORS = _random.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Five standard errors of an estimate from 128 minima at similarity 0.8.
 SLACK = 0.18
+#: Estimated similarity to a root from which a set is compared by its differences; both ways lose nothing.
+FAMILY = 0.4
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
@@ -178,7 +187,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     own = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = links.unionByName(own.select(F.col("b").alias("node"), F.col("a").alias("other")))
     labels = components(links)
-    more = saved(_confirmed(saved(_rest(nodes, labels, percent), "pairs"), texts, width, percent), "links")
+    more = saved(_rest(nodes, labels, texts, width, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     found = (
@@ -233,14 +242,88 @@ def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _rest(nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a bucket.
-
-    In each such bucket the members outside its largest component meet the others.
-    """
+def _rest(nodes: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components that share a bucket."""
     own = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = saved(own.select("node", "label", "n_shingles", "sketch", F.explode("bands").alias("bucket")).join(_mixed(nodes, labels), "bucket"), "open")
-    few = open_.filter("label <> main").select("bucket", "node", F.col("label").alias("label_a"), "main", F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
-    all_ = open_.select("bucket", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+    met = saved(own.select("node", "label", "n_shingles", "sketch", F.explode("bands").alias("bucket")).join(_mixed(nodes, labels), "bucket"), "open")
+    roots = met.select("main").distinct().join(nodes.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
+    seen = met.select("node", "label", "main", "sketch").distinct().join(roots, "main")
+    near = saved(seen.filter(estimate(F.col("sketch"), F.col("root")) >= FAMILY).select("node", "label", "main").distinct(), "near")
+    strangers = saved(_strangers(met, near, percent), "pairs")
+    return _confirmed(strangers, texts, width, percent).unionByName(_family_links(near, texts, width, percent)).distinct()
+
+
+def _strangers(met: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in a bucket of which one at least is outside the family of the bucket's root."""
+    flagged = met.join(near.select("node", "main", F.lit(True).alias("near")), ["node", "main"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    here = flagged.filter("label <> main").select("bucket", "node", F.col("label").alias("label_a"), "main", F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"), "near")
+    there = flagged.select("bucket", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"), F.col("near").alias("near_b"))
     new = (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("node") < F.col("other")))
-    return few.join(all_, "bucket").filter(new & _near(percent)).select("node", "other").distinct()
+    meet = lambda a, b: a.join(b, "bucket").filter(new & _near(percent)).select("node", "other")
+    return meet(here.filter("not near"), there).union(meet(here.filter("near"), there.filter("not near_b"))).distinct()
+
+
+def _family_links(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components inside the families ``node, label, main``."""
+    several = near.groupBy("main").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("main")
+    placed = saved(near.join(several, "main"), "families")
+    wanted = placed.select("node").union(placed.select("main")).distinct().withColumnRenamed("node", "doc_id")
+    sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), "node long, members array<long>"), "sets")
+    roots = placed.select("main").distinct().join(sets.withColumnRenamed("node", "main"), "main").groupBy("main").agg(F.min("members").alias("root"))
+    apart = saved(
+        placed.join(sets, "node").join(roots, "main").select("node", "label", "main", F.size("members").cast("long").alias("n"), _difference("members", "root").alias("apart")),
+        "apart",
+    )
+    sizes = apart.groupBy("main").agg(F.count("*").alias("members"))
+    shared = apart.select("main", F.explode("apart").alias("x")).groupBy("main", "x").agg(F.count("*").alias("c"))
+    most = shared.join(sizes, "main").filter("2 * c > members").groupBy("main").agg(F.sort_array(F.collect_list("x")).alias("most"))
+    delta = _difference("apart", F.coalesce("most", F.array().cast("array<long>")))
+    own = apart.join(most, "main", "left").select("node", "label", "main", "n", delta.alias("delta"))
+    excess = (100 + percent) * F.size("delta") - (100 - percent) * F.col("n")
+    own = saved(own.select("node", "label", "main", "delta", excess.alias("excess")), "deltas")
+    return _by_centre(own, percent).unionByName(_by_difference(own, percent))
+
+
+def _difference(a: str | Column, b: str | Column) -> Column:
+    return F.concat(F.array_except(a, b), F.array_except(b, a))
+
+
+def _linked(percent: int) -> Column:
+    """Whether the sets with ``delta, excess`` and ``delta_b, excess_b`` reach the threshold."""
+    return F.col("excess") + F.col("excess_b") <= 2 * (100 + percent) * F.size(F.array_intersect("delta", "delta_b"))
+
+
+def _centres(own: DataFrame) -> DataFrame:
+    least = own.groupBy("main").agg(F.min(F.struct("excess", "node")).alias("least")).select("main", F.col("least.excess").alias("excess"), F.col("least.node").alias("node"))
+    return own.join(least, ["main", "excess", "node"]).select(
+        "main", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("excess").alias("excess_b"), F.col("delta").alias("delta_b")
+    )
+
+
+def _by_centre(own: DataFrame, percent: int) -> DataFrame:
+    """Links with the member of least excess of each family."""
+    return own.join(_centres(own), "main").filter((F.col("label") != F.col("label_b")) & _linked(percent)).select("node", "other").distinct()
+
+
+def _by_difference(own: DataFrame, percent: int) -> DataFrame:
+    """Links of members that share differences and need to, for their excess is above zero together.
+
+    A member needs ``need`` shared differences at least, so two linked ones meet in the rarest of them
+    but for ``need - 1``.
+    """
+    steps = F.lit(2 * (100 + percent))
+    least = own.groupBy("main").agg(F.min("excess").alias("least"))
+    need = F.greatest(F.ceil((F.col("excess") + F.col("least")) / steps), F.lit(1))
+    set_ = ["main", "node", "set"]
+    parts = own.join(least, "main").select("main", "node", F.xxhash64("delta").alias("set"), "label", "excess", need.alias("need"), F.explode("delta").alias("x"))
+    counts = parts.groupBy("main", "x").agg(F.count("*").alias("c")).filter("c > 1")
+    order = Window.partitionBy(*set_).orderBy("c", "x")
+    parts = parts.join(counts, ["main", "x"]).withColumn("rank", F.row_number().over(order))
+    parts = parts.withColumn("shared", F.count("*").over(Window.partitionBy(*set_))).filter("rank <= shared - need + 1")
+    parts = saved(parts.select("main", "x", "node", "label", "excess", "shared"), "differences")
+    other = parts.select("main", "x", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("excess").alias("excess_b"), F.col("shared").alias("shared_b"))
+    both = F.col("excess") + F.col("excess_b")
+    new = (F.col("node") < F.col("other")) & (F.col("label") != F.col("label_b")) & (both > 0) & (both <= steps * F.least("shared", "shared_b"))
+    pairs = saved(parts.join(other, ["main", "x"]).filter(new).select("main", "node", "other").distinct(), "pairs")
+    there = own.select("main", F.col("node").alias("other"), F.col("excess").alias("excess_b"), F.col("delta").alias("delta_b"))
+    return pairs.join(own.select("main", "node", "excess", "delta"), ["main", "node"]).join(there, ["main", "other"]).filter(_linked(percent)).select("node", "other").distinct()

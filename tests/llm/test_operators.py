@@ -91,6 +91,38 @@ def test_near_duplicates(request, source):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None) == expected
 
 
+def near_copies(seed):
+    """Copies of one text with a few words of their own, and of versions of it with edits in common."""
+    rng = np.random.default_rng(seed)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for version in range(6):
+        own = list(base)
+        for at in rng.integers(0, 150, 3 * version):
+            own[at] = f"v{version}"
+        for _ in range(25):
+            copy = list(own)
+            for at in rng.integers(0, 150, int(rng.integers(1, 9))):
+                copy[at] = f"e{rng.integers(0, 400)}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_of_near_copies(spark, seed):
+    rows = near_copies(seed)
+    ship(spark)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = components_by_force(rows, 4, 80)
+    found = minhash.near_duplicates(frame, width=4).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == expected
+    near = frame.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label"), F.lit(7).cast("long").alias("main"))
+    links = minhash._family_links(near, frame, 4, 80)
+    labels = {r["node"]: r["label"] for r in components(links).collect()}
+    assert [(i, labels.get(i, i)) for i, _ in rows] == [(i, c) for i, _, c in expected]
+    assert len({c for _, _, c in expected}) > 5
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "node long, other long")
     assert {r["node"]: r["label"] for r in components(links).collect()} == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
