@@ -12,6 +12,8 @@ suffixes share them and one row stands for all of them:
 After each pass groups of one are finished. Where all bytes that a run (or quarter) spans occur
 elsewhere, all its suffixes are repeated and it is finished, too. Only what is equal in the digit
 and different in the span goes on, one row for each different span.
+
+Each pass is saved before the next begins, and the tables that it was made of are deleted.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import FLAT_BYTES, FlatHash, mixed
-from tagloom.llm.scratch import release, saved
+from tagloom.llm.scratch import discard, release, saved
 
 LENGTH = 200
 GRAM = 32
@@ -199,7 +201,9 @@ def _pass(items: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         .select(*digit),
         f"{name}-open",
     )
-    deeper = spans.join(open_digits, digit).select("at.*", "digit", "weight")
+    deeper = saved(spans.join(open_digits, digit).select("at.*", "digit", "weight"), f"{name}-deeper")
+    discard(items, spans, open_digits)
+    release(items.sparkSession)
     return repeated, deeper
 
 
@@ -221,6 +225,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         deeper.groupBy(keys).agg(F.collect_set(F.struct("start", "last", "anchor", "digit", "weight")).alias("runs")),
         "wanted",
     )
+    discard(deeper)
     context = F.transform(
         "runs",
         lambda r: F.struct(
@@ -232,6 +237,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         texts.join(wanted, keys).select(*keys, F.explode(context).alias("r")).select(*keys, "r.*"),
         "contexts",
     )
+    discard(wanted)
     release(docs.sparkSession)
     quarters = saved(contexts.mapInArrow(quarters_of(length), f"{RUN}, run int"), "quarters")
     whole_quarters, deeper = _pass(quarters, "quarters")
@@ -242,12 +248,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .mapInArrow(suffixes_of(length), "doc long, text_a long, start int, digit long, whole long, weight long"),
         "suffixes",
     )
+    discard(deeper, contexts)
     equal = saved(suffixes.groupBy("digit", "whole").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"), "equal")
     release(docs.sparkSession)
     single = saved(suffixes.join(equal, ["digit", "whole"]).select("doc", "text_a", "start", F.col("start").alias("last")), "single")
+    discard(suffixes, equal)
     release(docs.sparkSession)
     found = whole_runs.unionByName(whole_quarters).unionByName(single)
-    return found.groupBy(keys).agg(F.collect_set(F.struct("start", "last")).alias("spans"))
+    spans = saved(found.groupBy(keys).agg(F.collect_set(F.struct("start", "last")).alias("spans")), "spans")
+    discard(whole_runs, whole_quarters, single)
+    return spans
 
 
 def merged(spans: list, length: int) -> list[tuple[int, int]]:
@@ -305,7 +315,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, whole_characters: boo
     ``length`` stay whole; repeated rows are copies of each other; an empty table stays empty. Columns
     outside ``carry`` are ignored, whatever their names.
     """
-    spans = saved(repeated_spans(docs, length), "spans")
+    spans = repeated_spans(docs, length)
     release(docs.sparkSession)
     rows = docs.select(*carry, *_names(), F.col("text").cast("binary").alias("data"))
     rows = rows.join(spans, ["doc", "text_a"], "left").select(*carry, F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("n_bytes"), "data", "spans")

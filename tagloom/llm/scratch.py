@@ -5,9 +5,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; where none is set (tests), a folder of this machine."""
@@ -28,7 +31,16 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     """The rows of ``frame``, written once as Parquet; cuts the lineage and survives lost executors."""
     path = fresh_path(frame.sparkSession, name)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    rows = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    _paths[rows] = path
+    return rows
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes saved tables once everything made of them is saved itself; a retried task reads what is left."""
+    for rows in tables:
+        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(_paths.pop(rows))
+        path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
