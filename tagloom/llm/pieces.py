@@ -17,12 +17,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Words whose ids a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 17
+#: Bytes of input after which a task hands out its rows; a longer text goes alone.
+HANDED_BYTES = 1 << 22
 #: Characters after which the search looks for a common boundary, if none has shown by itself.
 WINDOW = 64
 #: A character that no piece holds costs this much more than the rarest piece.
@@ -201,10 +204,14 @@ def model(path: str) -> Model:
 def _mapped(path: str, source: str, target: str, work) -> object:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
-        for batch in batches:
-            values = [x.as_py() for x in batch.column(source)]
-            done = pa.array([None if v is None else work(own, v) for v in values], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, done], names=[*batch.schema.names, target])
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(source)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = np.flatnonzero(np.diff(np.cumsum(sizes) // HANDED_BYTES, prepend=-1)).tolist()
+            for i, j in zip(parts, [*parts[1:], len(sizes)]):
+                batch = whole.slice(i, j - i)
+                values = (x.as_py() for x in batch.column(source))
+                done = pa.array([None if v is None else work(own, v) for v in values], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, done], names=[*batch.schema.names, target])
 
     return over
 
