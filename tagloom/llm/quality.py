@@ -1,9 +1,10 @@
 """Quality rules on distributions, as column expressions only.
 
 A document's histogram of character classes and its histogram of common words are compared with
-those of all documents of its language by the Jensen-Shannon divergence (base 2, from 0 to 1).
-Short documents have no reliable histogram: below a minimum length only the base rules count, and
-so they do where the language as a whole has too little text for a reference.
+fixed references of its language (``quality_reference``) by the Jensen-Shannon divergence (base 2, from
+0 to 1). A language without a reference is judged by characters only, against the mean over its
+distinct texts, each of which counts once whatever its length and copies.
+Short documents have no reliable histogram: below a minimum length only the base rules count.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.quality_reference import CLASS_SHARES, WORD_SHARES
 from tagloom.llm.scratch import saved
 
 # Frequent function words of each language; other languages are judged by characters.
@@ -39,7 +41,6 @@ class Rules:
     max_word_divergence: float = 0.11
     min_chars: int = 200
     min_judged_words: int = 100
-    min_reference_words: int = 1000
 
 
 def _words() -> Column:
@@ -79,15 +80,16 @@ def histograms(docs: DataFrame) -> DataFrame:
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """Per language the summed histograms of all its documents; one row of some dozens of numbers."""
-    n_classes, n_common = len(CLASSES) + 1, max(map(len, COMMON_WORDS.values())) + 1
-    sums = [F.sum(F.get("_classes", F.lit(i))).alias(f"c{i}") for i in range(n_classes)]
-    sums += [F.sum(F.coalesce(F.get("_common", F.lit(i)), F.lit(0.0))).alias(f"w{i}") for i in range(n_common)]
-    return (
-        rows.groupBy("_lang")
-        .agg(*sums)
-        .select("_lang", F.array(*(f"c{i}" for i in range(n_classes))).alias("_all_classes"), F.array(*(f"w{i}" for i in range(n_common))).alias("_all_common"))
-    )
+    """The fixed references, and per other language the class shares of its distinct texts, in 1e-9; a row a language."""
+    size = F.aggregate("_classes", F.lit(0.0), lambda a, b: a + b)
+    texts = rows.filter(~F.col("_lang").isin(*CLASS_SHARES) & (F.length("_text") > 0)).select("_lang", F.sha2("_text", 256).alias("_name"), "_classes").distinct()
+    # Whole numbers add up to the same in any order.
+    sums = [F.sum(F.round(F.get("_classes", F.lit(i)) / size * 1e9).cast("long")).cast("double").alias(f"c{i}") for i in range(len(CLASSES) + 1)]
+    others = texts.groupBy("_lang").agg(*sums).select("_lang", F.array(*(f"c{i}" for i in range(len(CLASSES) + 1))), F.lit(None).cast("array<double>"))
+    fixed = F.array(*(F.struct(F.lit(k), F.array(*map(F.lit, CLASS_SHARES[k])), F.array(*map(F.lit, WORD_SHARES[k]))) for k in CLASS_SHARES))
+    # The fixed rows also keep the join with the references: without any row the optimizer would drop it
+    # and compute a document's histograms anew at each use.
+    return rows.sparkSession.range(1).select(F.inline(fixed)).toDF("_lang", "_all_classes", "_all_common").union(others)
 
 
 def divergence(left: Column, right: Column) -> Column:
@@ -149,18 +151,16 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` with a struct column ``_quality`` of ``MEASURES``.
 
     ``kept`` is false where the base rules fail or a divergence passes its limit. Null and blank texts
-    have no words and fail the base rules; a null language is a language of its own; one without
-    enough text, or a document under the guards, has a null divergence that rejects nothing. Repeated
+    have no words and fail the base rules; a null language is a language of its own. A document under the
+    guards, or whose language has no list of words, has a null divergence that rejects nothing. Repeated
     rows are judged alike. Columns of the same names as the measures keep their values.
     """
     thin = docs.select("text", "lang")
     reference = saved(references(histograms(thin)), "references")
     own = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang")
     rows = base(histograms(own)).join(reference, "_lang", "left")
-    common = F.col("_all_common")
-    enough = F.aggregate(common, F.lit(0.0), lambda a, b: a + b) >= rules.min_reference_words
     class_divergence = F.when(F.length("_text") >= rules.min_chars, divergence(F.col("_classes"), F.col("_all_classes")))
-    word_divergence = F.when((F.col("n_words") >= rules.min_judged_words) & enough & (F.size("_common") == F.size(common)), divergence(F.col("_common"), common))
+    word_divergence = F.when(F.col("n_words") >= rules.min_judged_words, divergence(F.col("_common"), F.col("_all_common")))
     rows = rows.withColumn("class_divergence", class_divergence).withColumn("word_divergence", word_divergence)
     rows = rows.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
     usual = (F.coalesce("class_divergence", F.lit(0.0)) <= rules.max_class_divergence) & (F.coalesce("word_divergence", F.lit(0.0)) <= rules.max_word_divergence)

@@ -232,6 +232,20 @@ def test_quality_keeps_labelled_documents(spark):
     assert bad.filter("not _quality.kept").count() >= 0.6 * bad.count()
 
 
+@pytest.mark.parametrize("lang", ["fr", "xx", None])
+def test_a_hot_group_of_copies_is_no_reference(spark, lang):
+    ship(spark)
+    sf = "/root/testdata/sf0.01"
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", F.when(F.col("lang") == "fr", F.lit(lang)).otherwise(F.col("lang")).alias("lang"))
+    words = documents.filter("doc_id = 0").first()["text"].split()
+    junk = " ".join(f"{w}{c * 3}" for w, c in zip(words * 50, "#*$%&" * 60))
+    copies = spark.range(-documents.count() // 2, 0).select(F.col("id").alias("doc_id"), F.lit(junk).alias("text"), F.lit(lang).cast("string").alias("lang"))
+    verdict = lambda frame: {r["doc_id"]: r["_quality"]["kept"] for r in quality.judged(frame).collect()}
+    before, after = verdict(documents), verdict(documents.unionByName(copies))
+    assert {i: after[i] for i in before} == before and sum(before.values()) > 600
+    assert not any(k for i, k in after.items() if i < 0)
+
+
 def test_pieces_round_trip(documents, tricky):
     for frame in (documents, tricky):
         rows = pieces.decoded(pieces.encoded(frame, PIECE_BPE), PIECE_BPE)
