@@ -232,6 +232,19 @@ def test_quality_keeps_labelled_documents(spark):
     assert bad.filter("not _quality.kept").count() >= 0.6 * bad.count()
 
 
+def test_quality_on_the_held_out_labels(spark):
+    ship(spark)
+    sf = "/root/testdata/sf0.1"
+    held = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id").filter(F.crc32(F.substring("text", 1, 32)) % 2 == 1)
+    rows = quality.judged(held.repartition(8)).select("quality", "_quality.*").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and not r["base_failed"]]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    assert len(good) > 1600 and good.count(False) <= 0.002 * len(good)
+    assert len(bad) == 286 and bad.count(True) <= 0.03 * len(bad)
+    short = [r["kept"] for r in rows if r["quality"] == 0 and not r["base_failed"] and 60 <= r["n_words"] < 100]
+    assert short.count(True) <= 0.3 * len(short)
+
+
 @pytest.mark.parametrize("lang", ["fr", "xx", None])
 def test_a_hot_group_of_copies_is_no_reference(spark, lang):
     ship(spark)
