@@ -1,4 +1,8 @@
-"""SentencePiece encoding by a streaming Viterbi search, and decoding.
+"""SentencePiece encoding in a streaming window, and decoding.
+
+The ids are those of the library for the model's kind. A BPE file's pieces are merged in the order of their
+scores; a boundary between two characters that no piece holds side by side is never merged over, so the
+ids before it are final. A unigram file's are found by a streaming Viterbi search:
 
 The best segmentation has the largest sum of piece scores. The search keeps only the characters that
 a piece may still reach back to: as soon as all surviving back pointers lead through one boundary, the
@@ -11,6 +15,7 @@ and the ids of a word are remembered within bounds.
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
 from collections.abc import Iterator
@@ -28,6 +33,10 @@ REMEMBERED = 1 << 17
 HANDED_BYTES = 1 << 22
 #: Characters after which the search looks for a common boundary, if none has shown by itself.
 WINDOW = 64
+#: The score of a pair that is no piece.
+NEVER = float("-inf")
+#: Longer stretches are merged with a heap.
+SHORT = 32
 #: A character that no piece holds costs this much more than the rarest piece.
 UNKNOWN = 10.0
 
@@ -37,6 +46,23 @@ class Model:
 
     def __init__(self, path: str) -> None:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto()
+        with open(path, "rb") as file:
+            proto.ParseFromString(file.read())
+        kinds = proto.SentencePiece
+        self.merges = proto.trainer_spec.model_type == proto.trainer_spec.BPE
+        if not self.merges and proto.trainer_spec.model_type != proto.trainer_spec.UNIGRAM:
+            raise ValueError("only BPE and unigram models have a search here")
+        # For merges: score and id by piece, pieces that are merged on only, whole pieces, neighbours inside of pieces.
+        normal = {p.piece: (p.score, i) for i, p in enumerate(proto.pieces) if p.type in (kinds.NORMAL, kinds.USER_DEFINED, kinds.UNUSED)}
+        self.score_of = {piece: score for piece, (score, _) in normal.items()}
+        self.id_of = {piece: i for piece, (_, i) in normal.items()}
+        self.unused = {p.piece for p in proto.pieces if p.type == kinds.UNUSED}
+        given = sorted((p.piece for p in proto.pieces if p.type == kinds.USER_DEFINED), key=len, reverse=True)
+        self.given = re.compile("(" + "|".join(map(re.escape, given)) + ")") if given else None
+        self.beside = {piece[i : i + 2] for piece in normal for i in range(len(piece) - 1)}
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.trie: dict = {}
@@ -163,7 +189,92 @@ class Model:
             n = begin[n]
         return out[::-1]
 
+    def _stretches(self, text: str) -> Iterator[str]:
+        """Parts of the text that no merge crosses."""
+        beside, begin = self.beside, 0
+        for i in range(1, len(text)):
+            if text[i - 1 : i + 1] not in beside:
+                yield text[begin:i]
+                begin = i
+        if text:
+            yield text[begin:]
+
+    def merged(self, text: str) -> list[int]:
+        """Ids of the text by the model's merges: the best score first, of equal ones the leftmost."""
+        if len(text) <= SHORT and not self.given and not self.unused:
+            symbols = self._merged_short(text, {})
+            try:
+                return [self.id_of[x] for x in symbols]
+            except KeyError:
+                return [i for x in symbols for i in ([self.id_of[x]] if x in self.id_of else self.fallback(x))]
+        out: list[int] = []
+        for k, part in enumerate(self.given.split(text) if self.given else [text]):
+            if k % 2:  # a user's piece is whole from the start
+                out.append(self.id_of[part])
+                continue
+            for stretch in self._stretches(part):
+                own: dict[str, tuple[str, str]] = {}
+                symbols = self._merged_short(stretch, own) if len(stretch) <= SHORT else self._merged_long(stretch, own)
+                symbols.reverse()
+                while symbols:
+                    piece = symbols.pop()
+                    if piece in self.unused and piece in own:
+                        symbols += own[piece][::-1]
+                    elif piece in self.id_of:
+                        out.append(self.id_of[piece])
+                    else:
+                        out.extend(self.fallback(piece))
+        return out
+
+    def _merged_short(self, text: str, own: dict) -> list[str]:
+        score, none, unused = self.score_of.get, NEVER, self.unused
+        symbols = list(text)
+        scores = [score(text[i : i + 2], none) for i in range(len(text) - 1)]
+        while scores:
+            best = max(scores)
+            if best == none:
+                break
+            i = scores.index(best)
+            whole = symbols[i] + symbols.pop(i + 1)
+            if whole in unused:
+                own[whole] = symbols[i], whole[len(symbols[i]) :]
+            symbols[i] = whole
+            del scores[i]
+            if i:
+                scores[i - 1] = score(symbols[i - 1] + whole, none)
+            if i < len(scores):
+                scores[i] = score(whole + symbols[i + 1], none)
+        return symbols
+
+    def _merged_long(self, text: str, own: dict) -> list[str]:
+        """``_merged_short`` with a heap of pairs; a pair whose parts have been merged since is passed over."""
+        score_of, n = self.score_of, len(text)
+        symbols: list = list(text)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        heap = [(-score_of[a + b], i, i + 1, 2) for i, (a, b) in enumerate(zip(text, text[1:])) if a + b in score_of]
+        heapq.heapify(heap)
+        while heap:
+            _, i, j, size = heapq.heappop(heap)
+            if not symbols[i] or not symbols[j] or len(symbols[i]) + len(symbols[j]) != size:
+                continue
+            whole = symbols[i] + symbols[j]
+            if whole in self.unused:
+                own[whole] = symbols[i], symbols[j]
+            symbols[i], symbols[j] = whole, ""
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for x, y in ((before[i], i), (i, after[i])):
+                if x >= 0 and y >= 0:
+                    pair = symbols[x] + symbols[y]
+                    if pair in score_of:
+                        heapq.heappush(heap, (-score_of[pair], x, y, len(pair)))
+        return [x for x in symbols if x]
+
     def _packed(self, text: str) -> bytes:
+        if self.merges:
+            ids = self.merged(text)
+            return struct.pack(f"<{len(ids)}I", *ids)
         if len(text) <= WINDOW:
             ids = self.one_window(text)
             return struct.pack(f"<{len(ids)}I", *ids)
@@ -171,7 +282,14 @@ class Model:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        text = self.processor.normalize(text)
+        packed = self._encode(self.processor.normalize(text))
+        if self.byte_ids:
+            return packed
+        ids = np.frombuffer(packed, dtype="<u4")  # a run of unknown characters is one id
+        again = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
+        return ids[np.concatenate(([True], ~again))].tobytes() if again.any() else packed
+
+    def _encode(self, text: str) -> bytes:
         if self.crosses:
             return self._packed(text)
         if len(self.known) > REMEMBERED:

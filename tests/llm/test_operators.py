@@ -266,6 +266,30 @@ def test_pieces_round_trip(documents, tricky):
         assert rows.count() == frame.count()
 
 
+def test_pieces_are_those_of_the_library(documents, tricky):
+    sp = pieces.model(PIECE_BPE).processor
+    more = [" ", "  two   spaces  ", "▁▁ x▁", "<s> <0x0A> <unk>", "a" * 5000, "=" * 3001 + "\n" * 70 + "\t x", "http://www.example.com/" * 40, "日本語のテキスト" * 50]
+    frame = documents.select("doc_id", "text").unionByName(tricky.select("doc_id", "text"))
+    frame = frame.unionByName(documents.sparkSession.createDataFrame([(-i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    rows = pieces.encoded(frame, PIECE_BPE).collect()
+    assert len(rows) == documents.count() + tricky.count() + len(more)
+    for r in rows:
+        assert np.frombuffer(r["ids"], dtype="<u4").tolist() == sp.encode(r["text"]), r["doc_id"]
+
+
+@pytest.mark.parametrize("kind, bytes_too", [("bpe", False), ("bpe", True), ("unigram", False)])
+def test_pieces_of_other_models(tmp_path, kind, bytes_too):
+    import sentencepiece
+
+    lines = [f"{w} and the {w}ing of red {w}s" for w in "water paper stone river letter garden".split()] * 20
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_prefix=f"{tmp_path}/m", model_type=kind, vocab_size=330 if bytes_too else 60, byte_fallback=bytes_too, user_defined_symbols=["<sep>"] if kind == "bpe" else [], hard_vocab_limit=False, minloglevel=2
+    )
+    own = pieces.Model(f"{tmp_path}/m.model")
+    for text in ["the watering of red stones", "éé the  日本 waterstones 日", "", "x"] + (["water<sep>stone the<sep>"] if kind == "bpe" else []):
+        assert np.frombuffer(own.encode(text), dtype="<u4").tolist() == own.processor.encode(text), text
+
+
 def test_streaming_search_equals_the_whole_table():
     model = pieces.Model(PIECE_BPE)
     sp = model.processor
