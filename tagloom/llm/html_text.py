@@ -27,8 +27,10 @@ MARKUP = re.compile(
     r"|</?[a-z][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+#: Only tags with one of these are looked at more closely.
+TELLING = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 
 # The elements of HTML by their effect on text.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output picture q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split())
@@ -43,21 +45,45 @@ FURNITURE_WORDS = set(
     " nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar widget footer header masthead toolbar topbar related recommended share sharing social login search"
     " comment comments disqus discussion replies reply respond copyright legal disclaimer".split()
 )
+# Parts that leave a name what its other parts make it: site-footer is a footer, has-sidebar is no sidebar.
+NEUTRAL = set("site main page global top bottom left right primary secondary inner outer wrap wrapper container box block bar area list item items link links title button btn icon form text posts articles stories".split())
+FURNITURE_NAMES = set("legal-notice post-footer entry-footer article-footer post-navigation post-comments article-comments social-media".split())
+# As the id of a section these are as often its topic.
+TOPICS = set("discussion legal copyright disclaimer advertising promotion navigation search menu alert notice cookies consent gdpr".split())
 WHITE = re.compile(r"\s+")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading")
 
 
-def _furniture(tag: str, rest: str) -> bool:
-    if tag in FURNITURE or HIDDEN.search(rest):
-        return True
-    named = " ".join(a or b or c for a, b, c in NAMES.findall(rest)).lower()
-    return any(w in FURNITURE_WORDS for w in re.split(r"[^a-z]+", named))
+def _names_furniture(name: str) -> bool:
+    """Whether a whole class, id or role is furniture: one of the words, or several with nothing but neutral parts."""
+    parts = [part.rstrip("0123456789") for part in re.split("[-_]+", name)]
+    found = [part in FURNITURE_WORDS for part in parts]
+    return name in FURNITURE_NAMES or any(found) and all(f or not part or part in NEUTRAL for f, part in zip(found, parts))
+
+
+def _furniture(tag: str, rest: str) -> int:
+    """0 for none, 1 where only a name says so, 2 for an element that is furniture by its kind or is hidden."""
+    named = 0
+    if TELLING.search(rest):
+        seen = set()
+        for name, *values in ATTRIBUTE.findall(rest):
+            name, value = name.lower(), html.unescape("".join(values)).strip().lower()
+            if name in seen:  # the first of equal attributes counts
+                continue
+            seen.add(name)
+            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and NOT_SHOWN.search(value):
+                return 2
+            if name == "id" and tag in HEADINGS:  # an anchor
+                continue
+            if name in ("class", "id", "role"):
+                named |= any(_names_furniture(w) for w in value.split() if not (name == "id" and tag == "section" and w in TOPICS))
+    return 2 if tag in FURNITURE else int(named)
 
 
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """(text, features) of every block that has text, in page order."""
     out: list[tuple[str, list[float]]] = []
-    open_: list[tuple[str, bool, bool, bool]] = []  # tag, furniture, article, heading: each its own or above
+    open_: list[tuple[str, int, bool, bool]] = []  # tag, furniture, article, heading: each its own or above
     parts: list[str] = []
     linked: list[str] = []
     anchors = 0
@@ -68,8 +94,8 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             if text:
                 words = text.count(" ") + 1
                 links = len(html.unescape("".join(linked)).split())
-                _, furniture, article, heading = open_[-1] if open_ else ("", False, False, False)
-                out.append((text, [float(words), min(1.0, links / words), 0.0, 0.0, 0.0, 0.0, float(furniture), float(article), float(heading)]))
+                _, furniture, article, heading = open_[-1] if open_ else ("", 0, False, False)
+                out.append((text, [float(words), min(1.0, links / words), 0.0, 0.0, 0.0, 0.0, float(furniture > 0), float(article), float(heading)]))
             parts.clear()
             linked.clear()
 
@@ -92,7 +118,7 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             anchors = 0 if m["end"] else 1
         if tag == "br":
             parts.append(" ")
-        if tag in INLINE and (m["end"] or tag in EMPTY or not (NAMES.search(rest) or HIDDEN.search(rest)) or not _furniture(tag, rest)):
+        if tag in INLINE and (m["end"] or tag in EMPTY or not _furniture(tag, rest)):
             if not m["end"] or not any(t == tag for t, *_ in open_):
                 continue
         close()
@@ -104,9 +130,11 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         elif tag not in EMPTY:
             if tag in CLOSES and open_ and open_[-1][0] in CLOSES[tag]:
                 open_.pop()
-            above = open_[-1] if open_ else ("", False, False, False)
-            furniture = _furniture(tag, rest) and tag not in ("html", "body")
-            open_.append((tag, furniture or above[1], tag in ARTICLE or above[2], tag in HEADINGS))
+            above = open_[-1] if open_ else ("", 0, False, False)
+            furniture = 0 if tag in ("html", "body") else _furniture(tag, rest)
+            # What holds the page's main part is its layout, whatever its name.
+            inherited = 0 if tag == "main" and above[1] == 1 else above[1]
+            open_.append((tag, max(furniture, inherited), tag in ARTICLE or above[2], tag in HEADINGS))
             anchors = 0
     if end < len(page):
         text(page[end:])

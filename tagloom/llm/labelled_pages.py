@@ -46,4 +46,14 @@ PAGES = [
         (0, "<div class='banner promo'>Half price on all clocks and watches in the shop until Sunday evening only.</div>"),
         (0, "<div class='footer'>Printed in the town, written by its people, read by whoever wants to know more.</div>"),
     ],
+    [
+        (0, "<div class='site-header'><a href=/>Field and fen</a></div>"),
+        (1, "<div class='layout has-sidebar'><div class='overflow-hidden' style='overflow:hidden' aria-hidden=false data-hidden=false><article class='post category-legal'><h1>What the fen remembers</h1>"),
+        (1, "<p>Peat keeps leaves, boats and letters, and those who cut it find <a href=/hidden-gems>hidden gems</a> in it every summer.</p>"),
+        (1, "<h2 id='related-work'>Earlier digs</h2><p>Two villages dug here before the war and left their spades.</p>"),
+        (1, "<section id=discussion><h2>Discussion</h2><p>Whether the boat was sunk on purpose cannot be told from the wood alone.</p></section></article></div>"),
+        (0, "<div class='main-sidebar'>Every week a new walk through the fen, told by those who live there.</div></div>"),
+        (0, "<p hidden>Only machines are meant to read this line about the fen and the boats in it.</p>"),
+        (0, "<div class='site-footer'>Written by the walkers of the fen for whoever walks there next.</div>"),
+    ],
 ]

@@ -324,6 +324,39 @@ def test_main_text(spark):
     assert sorted((r["page_id"], r["text"]) for r in html_text.extracted(pages).collect()) == [(1, ""), (2, ""), (2, "x"), (3, "plain < 5"), (4, ""), (5, "")]
 
 
+ARTICLE_TEXT = "Peat keeps leaves, boats and letters for a very long time, and nobody knows why it does."
+
+
+@pytest.mark.parametrize(
+    "around, shown",
+    [
+        *(
+            (x, True)
+            for x in (
+                "<div class='overflow-hidden'>%s</div>", "<div style='overflow:hidden'>%s</div>", "<div data-hidden=false>%s</div>", "<div aria-hidden='false'>%s</div>",
+                "<section id='discussion'>%s</section>", "<div class='layout has-sidebar'>%s</div>", "<article class='post category-legal'>%s</article>",
+                "<div class='sidebar'><main>%s</main></div>", "<div title='class=ad hidden'>%s</div>", "<div data-class=nav>%s</div>",
+            )
+        ),
+        *(
+            (x, False)
+            for x in (
+                "<div hidden>%s</div>", "<div HIDDEN=''>%s</div>", "<div aria-hidden=true>%s</div>", "<div style='color:red; display : none'>%s</div>", "<div class='x site-footer'>%s</div>",
+                "<div class=cookie-notice>%s</div>", "<section id=comments>%s</section>", "<div class='nav__item'>%s</div>", "<div id=ad1>%s</div>", "<div hidden><main>%s</main></div>",
+            )
+        ),
+    ],
+)
+def test_attributes_that_hide(spark, around, shown):
+    page = f"<body><h1>The fen</h1>{around % f'<p>{ARTICLE_TEXT}</p>'}<p>It is dug in summer, when the water is low and the days are long enough.</p></body>"
+    assert (ARTICLE_TEXT in html_text.main_text(page, html_text.trained(spark))) == shown
+
+
+def test_links_and_headings_keep_their_words(spark):
+    page = "<article><h2 id='related-work'>Related work</h2><p>Those who dig find <a href='/hidden-gems'>many old things</a> in it every summer.</p></article>"
+    assert html_text.main_text(page, html_text.trained(spark)) == "Related work\nThose who dig find many old things in it every summer."
+
+
 def test_main_text_of_the_sample_pages(spark):
     ship(spark)
     for r in html_text.extracted(spark.read.parquet(f"{SF}/pages.parquet")).join(spark.read.parquet(f"{SF}/pages.parquet"), "page_id").collect():
