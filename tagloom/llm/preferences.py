@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 HEAD, AFTER, END = "<|im_start|>", "\n", "<|im_end|>\n"
 LEARNED = "assistant"
+TURNS = "array<struct<turn: long, role: string, text: string>>"
 NO_SPANS = "array<struct<start: long, length: long>>"
 
 
@@ -59,11 +60,19 @@ def preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     sides = pairs.select("pair_id", "chosen", "rejected")
     for side in ("chosen", "rejected"):
         own = whole.select(F.col("conv_id").alias(side), F.col("turns").alias(f"{side}_turns"))
-        sides = sides.join(own, side, "left").withColumn(f"{side}_turns", F.coalesce(f"{side}_turns", F.array().cast("array<struct<turn: long, role: string, text: string>>")))
+        sides = sides.join(own, side, "left").withColumn(f"{side}_turns", F.coalesce(f"{side}_turns", F.array().cast(TURNS)))
+    return compared(sides)
+
+
+def _same(x: Column, y: Column) -> Column:
+    return (F.coalesce(x["role"], F.lit("")) == F.coalesce(y["role"], F.lit(""))) & (F.coalesce(x["text"], F.lit("")) == F.coalesce(y["text"], F.lit("")))
+
+
+def compared(sides: DataFrame) -> DataFrame:
+    """The result of ``preferences`` from rows that have both sides' turns, chosen_turns and rejected_turns."""
     a, b = F.col("chosen_turns"), F.col("rejected_turns")
-    same = lambda x, y: F.coalesce(x["role"], F.lit("")).eqNullSafe(F.coalesce(y["role"], F.lit(""))) & F.coalesce(x["text"], F.lit("")).eqNullSafe(F.coalesce(y["text"], F.lit("")))
     differs = F.filter(
-        F.transform(a, lambda x, i: F.when((i < F.size(b)) & same(x, F.get(b, i)), F.lit(None).cast("int")).otherwise(i)),
+        F.transform(a, lambda x, i: F.when((i < F.size(b)) & _same(x, F.get(b, i)), F.lit(None).cast("int")).otherwise(i)),
         lambda i: i.isNotNull(),
     )
     rows = sides.withColumn("n_shared", F.coalesce(F.get(differs, F.lit(0)), F.size(a)))
@@ -90,3 +99,35 @@ def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """Pairs of conversations 2n (chosen) and 2n + 1 (rejected), of those of which at least one exists."""
     numbers = turns.filter("conv_id is not null").select(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")).distinct()
     return numbers.select("pair_id", (F.col("pair_id") * 2).alias("chosen"), (F.col("pair_id") * 2 + 1).alias("rejected"))
+
+
+def answers(turns: DataFrame) -> DataFrame:
+    """One row per assistant turn, as ``preferences`` gives: the turns before it shared, it chosen, another rejected.
+
+    pair_id is conv_id and place (from 0) joined by a colon; chosen and rejected are the conversations that the
+    turns are from. Rejected is the first of these assistant turns whose text differs: the one at the same place of
+    conversation conv_id + 1, the others there, those later in the own conversation, the earlier ones; without any,
+    rejected is null and its completion empty. Places count a conversation's turns in order, so a gap or a
+    repeated turn number does not matter. Empty tables give no rows.
+    """
+    whole = conversations(turns)
+    after = whole.select(F.expr("try_subtract(conv_id, 1)").alias("conv_id"), F.filter(F.transform("turns", lambda t, i: F.struct(i.alias("i"), t.alias("t"))), lambda x: x["t"]["role"] == LEARNED).alias("_next"))
+    rows = whole.join(after, "conv_id", "left").withColumn("_own", F.filter(F.transform("turns", lambda t, i: F.struct(i.alias("i"), t.alias("t"))), lambda x: x["t"]["role"] == LEARNED))
+    rows = rows.select("*", F.explode("_own").alias("_x"))
+    at, turn = F.col("_x.i"), F.col("_x.t")
+    following = F.coalesce("_next", F.array().cast(rows.schema["_own"].dataType))
+    ordered = F.concat(F.filter(following, lambda x: x["i"] == at), F.filter(following, lambda x: x["i"] != at))
+    own = F.concat(F.filter("_own", lambda x: x["i"] > at), F.filter("_own", lambda x: x["i"] < at))
+    first = lambda found: F.get(F.filter(found, lambda x: ~_same(x["t"], turn)), F.lit(0))
+    rows = rows.withColumns({"_there": first(ordered), "_here": first(own)})
+    shared = F.slice("turns", F.lit(1), at)
+    other = F.coalesce(F.col("_there.t"), F.col("_here.t"))
+    return compared(
+        rows.select(
+            F.concat_ws(":", F.col("conv_id").cast("string"), at.cast("string")).alias("pair_id"),
+            F.col("conv_id").alias("chosen"),
+            F.when(F.col("_there").isNotNull(), F.col("conv_id") + 1).when(F.col("_here").isNotNull(), F.col("conv_id")).alias("rejected"),
+            F.concat(shared, F.array(turn)).alias("chosen_turns"),
+            F.when(other.isNotNull(), F.concat(shared, F.array(other))).otherwise(shared).alias("rejected_turns"),
+        )
+    )

@@ -59,7 +59,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    rows = preferences.preferences(turns, preferences.neighbour_pairs(turns))
+    rows = preferences.answers(turns)
     flat = lambda m: F.array_join(F.transform(m, lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string"))), ",")
     return rows.withColumns({"chosen_mask": flat(F.col("chosen_mask")), "rejected_mask": flat(F.col("rejected_mask"))})
 

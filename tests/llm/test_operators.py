@@ -378,6 +378,42 @@ def test_preferences(spark):
     assert preferences.preferences(frame.limit(0), preferences.neighbour_pairs(frame.limit(0))).count() == 0
 
 
+def answers_by_force(turns):
+    talks = collections.defaultdict(list)
+    for c, n, role, text in sorted(turns, key=lambda t: (t[0], t[1], t[2], t[3] or "")):
+        talks[c].append((role, text or ""))
+    show = lambda talk: "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in talk)
+    out = {}
+    for c, talk in talks.items():
+        for i, (role, text) in enumerate(talk):
+            if role != "assistant":
+                continue
+            there = [(k != i, k, c + 1, x) for k, x in enumerate(talks.get(c + 1, [])) if x[0] == "assistant"]
+            here = [(k < i, k, c, x) for k, x in enumerate(talk) if x[0] == "assistant"]
+            found = [(d, x) for _, _, d, x in [*sorted(there), *sorted(here)] if x[1] != text]
+            d, x = found[0] if found else (None, None)
+            out[f"{c}:{i}"] = (i, show(talk[:i]), show([(role, text)]), show([x]) if x else "", c, d)
+    return out
+
+
+@pytest.mark.parametrize("source", ["sample", "made up"])
+def test_every_answer_has_its_shared_start(spark, source):
+    if source == "sample":
+        from tagloom.llm import queries
+
+        rows = queries.op6_chat_formatting(spark, SF).collect()
+        turns = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+        assert sum(r["n_shared"] > 0 for r in rows) > 30
+    else:
+        turns = [
+            (0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 4, "assistant", "c"), (1, 6, "user", None), (1, 7, "assistant", None),
+            (5, 0, "assistant", "only"), (7, 0, "assistant", "same"), (7, 1, "assistant", "same"), (9, 0, "user", "x"), (2**63 - 1, 0, "assistant", "end"), (-(2**63), 0, "assistant", "begin"),
+        ]
+        rows = preferences.answers(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    got = {r["pair_id"]: (r["n_shared"], r["prompt"], r["chosen_completion"], r["rejected_completion"], r["chosen"], r["rejected"]) for r in rows}
+    assert len(got) == len(rows) and got == answers_by_force(turns)
+
+
 def test_lookup_table(spark, tricky):
     names = [f"s{i}" for i in range(7)]
     table = sharding.lookup_table(names, 1009)
