@@ -48,7 +48,7 @@ def stored(spark, tmp_path_factory):
     return lambda name: spark.read.parquet(f"{root}/{name}")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted({**METRICS, **PROFILES}))
 def test_only_declarative_steps_and_wanted_joins(spark, name):
     plan = plan_of(queries()[name](spark, SAMPLE_DIR))
     for step in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHash"):
