@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tagloom.llm import decontaminate, html_text, minhash, pieces, preferences, quality, repeats, sequences, sharding, token_counts
+from tagloom.llm import decontaminate, html_text, lines, minhash, pieces, preferences, quality, repeats, sequences, sharding, token_counts
 from tagloom.llm.ship import ship
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -84,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +102,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash,
         op9_sharding,
         op10_decontamination,
+        op13_line_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_line_dedup": """
+        with split as (
+            select doc_id, coalesce(text, '') as text, string_split(coalesce(text, ''), chr(10)) as lines from documents
+        ), numbered as (
+            select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from split
+        ), keyed as (
+            select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from numbered
+        ), repeated as (
+            select key, max(doc_id) as keeper from keyed where length(key) >= 20
+            group by key having count(distinct doc_id) >= 3
+        ), judged as (
+            select doc_id, pos, line, coalesce(doc_id <> keeper, false) as gone from keyed left join repeated using (key)
+        )
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+        from judged group by doc_id""",
+}

@@ -39,8 +39,12 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Deletes saved tables once everything made of them is saved itself; a retried task reads what is left."""
     for rows in tables:
-        path = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(_paths.pop(rows))
-        path.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        delete(rows.sparkSession, _paths.pop(rows))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def release(spark: SparkSession) -> None:
