@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tagloom.llm import decontaminate, html_text, lines, minhash, pieces, preferences, quality, repeats, sequences, sharding, token_counts
+from tagloom.llm import alignment, decontaminate, html_text, lines, minhash, negatives, pieces, preferences, quality, repeats, sequences, sharding, token_counts
 from tagloom.llm.ship import ship
 
-WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_BPE, PIECE_BPE, BYTE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 TOKEN_LIMIT = 2048
 SHARDS = [f"shard-{i:04d}" for i in range(1000)]
 
@@ -84,6 +84,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.without_repeated_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -102,10 +112,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash,
         op9_sharding,
         op10_decontamination,
+        op11_alignment,
+        op12_hard_negatives,
         op13_line_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op12_hard_negatives": """
+        with vectors as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as units
+            from embeddings
+            where label is not null and embedding is not null and vec_id is not null
+              and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)
+        ), scored as (
+            select a.vec_id as anchor_id, a.label = o.label as same, o.vec_id as other_id,
+                   cast(list_sum(list_transform(list_zip(a.units, o.units), lambda p: p[1] * p[2])) as bigint) as score
+            from vectors a join vectors o on a.vec_id <> o.vec_id where a.vec_id % 50 = 0
+        ), positives as (
+            select anchor_id, other_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+        )
+        select anchor_id, positive_id,
+               cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as integer) as rank,
+               other_id as negative_id, positive_score, score as negative_score
+        from positives join scored using (anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify row_number() over (partition by anchor_id, positive_id order by score desc, other_id) <= 3""",
     "op13_line_dedup": """
         with split as (
             select doc_id, coalesce(text, '') as text, string_split(coalesce(text, ''), chr(10)) as lines from documents

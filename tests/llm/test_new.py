@@ -1,0 +1,279 @@
+"""Alignment, hard negatives and line dedup against brute force, SQL, and tricky input."""
+
+import collections
+import hashlib
+import math
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import public_tokenizers
+from tagloom.llm import alignment, lines, negatives
+from tagloom.llm.queries import ORACLE_SQL, QUERIES
+from tagloom.llm.ship import ship
+
+SF = "/root/testdata/sf0.001"
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def tokens(text):
+    """Ids and bytes by the libraries, of the whole text at once."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(BYTE_BPE)
+    a.encode_special_tokens = True
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    name = {i: t for t, i in a.get_vocab().items()}
+    byte = alignment.byte_alphabet()
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, sp.encode(text)
+    bytes_a = [bytes(byte[c] for c in name[i]) for i in ids_a]
+    bytes_b = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode() for i in ids_b]
+    return ids_a, ids_b, bytes_a, bytes_b
+
+
+def spans(parts):
+    at, out = 0, []
+    for p in parts:
+        out.append((at, at + len(p)))
+        at += len(p)
+    return out
+
+
+def alignment_by_force(rows):
+    links, about = [], []
+    for doc_id, text in rows:
+        own, shown, n = [], [], (0, 0, 0)
+        if text:
+            ids_a, ids_b, a, b = tokens(text)
+            if b"".join(a) == b"".join(b) == (" " + text).encode():
+                sa, sb = spans(a), spans(b)
+                j = 0
+                for i, (s, e) in enumerate(sa):
+                    while sb[j][1] <= s:
+                        j += 1
+                    k = j
+                    while k < len(sb) and sb[k][0] < e:
+                        own.append((ids_a[i], ids_b[k]))
+                        k += 1
+                common = sorted({e for _, e in sa} & {e for _, e in sb})
+                start = 0
+                for end in common:
+                    inside = lambda ids, places: ",".join(str(i) for i, (s, e) in zip(ids, places) if start <= s and e <= end)  # noqa: B023, E731
+                    shown.append(inside(ids_a, sa) + "|" + inside(ids_b, sb)) if len(sa) < 500 else None
+                    start = end
+                n = (len(ids_a), len(ids_b), len(common))
+        links.append(own)
+        about.append((doc_id, n, hashlib.sha256(";".join(shown).encode()).hexdigest() if own else ""))
+    count = collections.Counter(p for own in links for p in own)
+    top = collections.Counter()
+    for (_, b), c in count.items():
+        top[b] = max(top[b], c)
+    return [
+        (doc_id, *n, len(own), sum(count[p] == top[p[1]] for p in own), sum(count[p] for p in own), sha if n[0] < 500 else None)
+        for (doc_id, n, sha), own in zip(about, links)
+    ]
+
+
+def aligned_rows(frame, **given):
+    found = alignment.alignment(frame, BYTE_BPE, PIECE_BPE, **given).collect()
+    return sorted(((*r[:-1], r[-1] if r["n_a"] < 500 else None) for r in found), key=repr)
+
+
+@pytest.fixture
+def documents(spark):
+    ship(spark)
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+ODD = [
+    (20, "a  b\n\n c \t d\r\n   e  f　  g"),
+    (21, "foo​ bar    baz!​ ?"),
+    (22, " <s> <|endoftext|> </s> <unk> <0x41>"),
+    (23, "   \n  "),
+    (24, "x\n\ny \n z\n"),
+    (25, "a▁b"),
+    (26, "日本語 the 日本  語\n\u0085 \x1c x \x00"),
+]
+
+
+@pytest.mark.parametrize("frequent", [1 << 20, 8, 0])
+def test_alignment_of_tricky_texts(spark, tricky, frequent):
+    odd = spark.createDataFrame(ODD, "doc_id long, text string")
+    frame = tricky.select("doc_id", "text").unionByName(odd)
+    rows = [(r["doc_id"], r["text"]) for r in frame.collect() if r["doc_id"] != 10]
+    got = aligned_rows(frame.filter("doc_id is null or doc_id <> 10"), frequent_pairs=frequent)
+    assert got == sorted(alignment_by_force(rows), key=repr)
+    zeros = {r[0] for r in got if r[1] == 0}
+    assert zeros == {1, 2, 5, 25}
+
+
+def test_alignment_of_documents(documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.filter("n_chars < 8000").collect()]
+    assert aligned_rows(documents.filter("n_chars < 8000")) == sorted(alignment_by_force(rows), key=repr)
+
+
+def test_alignment_of_a_long_text_in_segments(spark, monkeypatch):
+    """Segments and pieces of a long text give what one segment gives."""
+    text = " ".join(f"word{i % 97} été, it's {i}!\n" for i in range(4000))
+    pair = alignment._pair(BYTE_BPE, PIECE_BPE)
+    digits = alignment.Digits(60000)
+    whole = alignment.Report(0, 1)
+    alignment._work_on(pair, digits, [(whole, *pair.encoded(" " + text))])
+    monkeypatch.setattr(alignment, "SEGMENT", 1000)
+    cut = alignment.Report(0, 1)
+    parts = list(alignment.segments(" " + text))
+    assert len(parts) > 50 and "".join(parts) == " " + text
+    for part in parts:
+        alignment._work_on(pair, digits, [(cut, *pair.encoded(part))])
+    assert cut.values() == whole.values()
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
+def test_merge_path_pieces_are_equal_and_agree(piece):
+    rng = np.random.default_rng(piece)
+    for _ in range(30):
+        end = int(rng.integers(1, 60))
+        a, b = (np.unique(np.append(rng.integers(1, end + 1, rng.integers(0, 40)), end)) for _ in range(2))
+        cuts_a, cuts_b = alignment.merge_path(a, b, piece)
+        steps = np.diff(cuts_a + cuts_b)
+        assert (steps[:-1] == piece).all() and (steps <= piece).all()
+        assert (np.diff(cuts_a) >= 0).all() and (np.diff(cuts_b) >= 0).all()
+        link_a, link_b, groups_a, groups_b = alignment.aligned(a, b, piece)
+        inside = lambda x, p: int(np.searchsorted(x, p))
+        assert sorted(zip(link_a, link_b)) == sorted({(inside(a, p), inside(b, p)) for p in {*a, *b}})
+        assert [(int(a[i - 1]), int(b[j - 1])) for i, j in zip(groups_a, groups_b)] == [(int(p), int(p)) for p in sorted({*a} & {*b})]
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [1, 255, 256], [0, 1 << 40]):
+        assert alignment.unpacked(alignment.packed(np.array(numbers, dtype=np.int64))).tolist() == numbers
+
+
+@pytest.mark.parametrize("low,high", [(-150, 140), (0, 3), (-(1 << 20), 1 << 20), (-(1 << 45), 1 << 45), (5, 9)])
+def test_kronecker_scores_are_exact(low, high):
+    rng = np.random.default_rng(3)
+    a, c = rng.integers(low, high, (7, 6)), rng.integers(low, high, (13, 6))
+    expected = [[sum(int(x) * int(y) for x, y in zip(u, v)) for v in c] for u in a]
+    if max(abs(x) for row in expected for x in row) < 1 << 63:
+        assert negatives.kronecker_scores(a.astype(float), c.astype(float)).tolist() == expected
+    else:
+        with pytest.raises(OverflowError):
+            negatives.kronecker_scores(a.astype(float), c.astype(float))
+
+
+def negatives_by_force(rows, scale=256):
+    usable = [(i, lab, [math.floor(scale * x) for x in v]) for i, lab, v in rows if None not in (i, lab, v) and all(x is not None and math.isfinite(x) for x in v)]
+    anchors = {}
+    for row in usable:
+        if row[0] % 50 == 0:
+            anchors[row[0]] = min(anchors.get(row[0], row), row)
+    out = []
+
+    def first(scores, k):
+        return sorted(((-s, i) for i, s in scores.items()))[:k]
+
+    for i, label, v in anchors.values():
+        same, other = {}, {}
+        for j, lab, w in usable:
+            if j != i:
+                s = sum(x * y for x, y in zip(v, w))
+                into = same if lab == label else other
+                into.setdefault(j, []).append(s)
+        for ps, p in first({j: max(s) for j, s in same.items()}, 5):
+            ps = -ps
+            window = {j: max(inside) for j, s in other.items() if (inside := [x for x in s if 50 * ps <= 100 * x <= 95 * ps])}
+            out += [(i, p, rank, n, ps, -ns) for rank, (ns, n) in enumerate(first(window, 3), 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("round_bytes", [8 << 20, 400])
+def test_hard_negatives(spark, monkeypatch, round_bytes):
+    monkeypatch.setattr(negatives, "ROUND_BYTES", round_bytes)
+    ship(spark)
+    rng = np.random.default_rng(12)
+    rows = [(i, int(rng.integers(0, 3)), [float(x) for x in rng.integers(-3, 6, 4) / 256]) for i in range(300)]
+    rows += [(i, 1, [0.02, 0.02, 0.01, 0.0]) for i in range(300, 420)]  # many equal vectors: ties
+    rows += [(50, 0, [0.01] * 4), (50, 0, [0.01] * 4), (7, 2, [0.02] * 4), (7, 1, [0.02] * 4)]  # repeated ids
+    rows += [(None, 1, [0.1] * 4), (500, None, [0.1] * 4), (501, 1, None), (502, 1, [0.1, None, 0.1, 0.1]), (503, 1, [0.1, float("nan"), 1.0, 1.0])]
+    rows += [(504, 1, [float("inf"), 0.0, 0.0, 0.0]), (550, 2, []), (551, 2, [0.02]), (600, 2, [0.02, 0.01]), (650, 9, [0.5] * 4)]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, label int, embedding array<double>, score string")
+    found = negatives.hard_negatives(frame, F.col("vec_id") % 50 == 0)
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == negatives_by_force(rows) and len(got) > 30
+    none = negatives.hard_negatives(frame.filter("vec_id % 50 <> 0"), F.col("vec_id") % 50 == 0)
+    assert none.count() == 0 == negatives.hard_negatives(frame.limit(0), F.col("vec_id") % 50 == 0).count()
+
+
+def lines_by_force(rows, shortest, least):
+    def key(line):
+        return "".join(c.lower() if c in lines.UPPER else c for c in line.strip(lines.SPACE))
+
+    holders = collections.defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if i is not None and len(key(line)) >= shortest:
+                holders[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        every = (t or "").split("\n")
+        kept = [x for x in every if i is None or len(holders[key(x)]) < least or max(holders[key(x)]) == i]
+        out.append((i, len(every), len(every) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+MARKED = [
+    (30, "  The Same Line of Text here\t\nother\n\nThe same line of text HERE"),
+    (31, "the same line of text here\r\nÀ la carte et encore plus loin"),
+    (32, "à la carte et encore plus loin\nthe same line of text here\n"),
+    (33, "À LA CARTE ET ENCORE PLUS LOIN\n\x0bThe same line of text here\x0c"),
+    (34, "À la carte et encore plus loin\nshort\nshort"),
+    (None, "the same line of text here"),
+    (35, "À la carte ET encore plus loin"),
+    (35, "À la carte et encore plus loin\nmore of it in the second row of 35"),
+]
+
+
+@pytest.mark.parametrize("batches,fanout", [(1, 2), (4, 2), (7, 3)])
+def test_lines(spark, tricky, batches, fanout):
+    frame = tricky.select("doc_id", "text").unionByName(spark.createDataFrame(MARKED, "doc_id long, text string")).withColumn("pos", F.lit(1)).withColumn("line_a", F.lit("x"))
+    rows = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    got = sorted((tuple(r) for r in lines.without_repeated_lines(frame, batches=batches, fanout=fanout).collect()), key=repr)
+    assert got == lines_by_force(rows, 20, 3)
+    assert sum(r[2] for r in got) > 4
+    assert lines.without_repeated_lines(frame.limit(0), batches=batches).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_settled_keys_enter_no_later_run(spark):
+    runs = lines.LineRuns(spark, least_docs=3, fanout=2)
+    key = lambda docs, a: spark.createDataFrame([(d, a, a) for d in docs], "doc_id long, line_a long, line_b long")
+    sizes = []
+    for docs in ([9, 8, 7], [6, 5], [4, 3], [2]):
+        runs.add(key(docs, 1).unionByName(key(docs[:1], 2))), 1 << 30)
+        sizes.append([[spark.table(t).filter("line_a = 1").count() for t, _ in level] for level in runs.levels])
+    assert sizes == [[[1]], [[], [1]], [[0], [1]], [[], [], [1]]]
+    found = {r["line_a"]: (r["keeper"], r["frequent"]) for r in runs.repeated().collect()}
+    assert found[1] == (9, False) and found[2] == (9, False)
+
+
+def test_native_plan(spark):
+    """No Python in the plans of the line dedup."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = lines.without_repeated_lines(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "Nested" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_matches_sql(spark, name):
+    ours = QUERIES[name](spark, SF)
+    duck = duckdb.connect()
+    for table in "documents embeddings pages benchmark labels conversations".split():
+        duck.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    found = duck.execute(ORACLE_SQL[name])
+    names = [d[0] for d in found.description]
+    assert sorted(names) == sorted(ours.columns)
+    expected = sorted((tuple(row) for row in found.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in names) for r in ours.collect()), key=repr) == expected and expected
