@@ -6,9 +6,8 @@ group. A merge path cuts the merge into independent pieces of equal work: binary
 the (A, B) grid find how many ends of either list lie before each cut. A piece emits its overlaps; a group that
 is open at a cut, or a common end whose two tokens lie on both sides of it, is stitched from the neighbours.
 
-Texts are cut into units where a blank or line feed follows a character that is no white space; no token of
-either tokenizer crosses there, so units are encoded once and remembered within bounds, and a long text is
-worked on a segment of units at a time.
+Where a blank or line feed follows a character that is no white space, no token of either tokenizer crosses, so
+a text of any length is encoded and worked on a stretch at a time.
 
 Ids of a pair that are linked are counted over the corpus. Documents keep their distinct pairs, packed. Pairs with
 more than a 2**-20 share of all links are at most 2**20; their counts are broadcast, whatever the corpus. The
@@ -30,17 +29,18 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.scratch import discard, saved
 
-#: Units a task remembers, and the longest of them; texts are worked on so many characters at a time.
-REMEMBERED, UNIT_CHARS, SEGMENT = 1 << 17, 48, 1 << 19
+#: Characters that are encoded in one go, and that are worked on at a time.
+STRETCH, WORKED = 1 << 14, 1 << 19
 #: Ends of both lists that one piece of a merge has.
 PIECE = 1 << 16
 #: Pairs broadcast at most; distinct pairs a task holds while it counts.
 FREQUENT, HELD = 1 << 20, 1 << 21
 #: All that any tokenizer may take for white space, and what stands for a blank in pieces.
 _BLANK = r"\s\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿▁"
-_ODD = re.compile(f"(?![ \n])[{_BLANK}]")
 _BREAK = re.compile(f"(?<=[^{_BLANK}])(?=[ \n])")
-_UNIT = re.compile("[ \n]*[^ \n]+|[ \n]+")
+
+# Fixed value: how byte-level tokenizers files with ``use_regex`` cut a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, counts binary"
 
@@ -67,6 +67,7 @@ class Pair:
         alphabet = byte_alphabet()
         ids = {i: bytes(alphabet[c] for c in entry) for entry, i in described["model"]["vocab"].items()}
         ids.update({t["id"]: t["content"].encode() for t in described["added_tokens"]})
+        self.ranked = self._ranked(described, alphabet)
         self.bytes_a = [ids.get(i, b"") for i in range(max(ids) + 1)]
         self.b = sp = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
@@ -74,44 +75,46 @@ class Pair:
         if any(re.search("[^▁]▁|[^\n]\n|\n[^\n]", p) for i, p in enumerate(pieces) if not sp.is_byte(i)):
             raise ValueError("pieces of this model cross a word's start")
         self.sizes_a, self.sizes_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _entries(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Packed ids of either tokenizer; None where the joined bytes of one of them aren't the unit's."""
-        in_a = self.a.encode_batch_fast(units, add_special_tokens=False)
-        # The library puts a blank in front: a unit's own blank, or one that a line feed keeps apart. A blank alone needs the second way.
-        own = [len(u) > 1 and u[0] == " " for u in units]
-        in_b = self.b.encode([u[1:] if o else "\n" + u for u, o in zip(units, own)], num_threads=1)
-        out: list[tuple[bytes, bytes] | None] = []
-        for unit, o, a, b in zip(units, own, in_a, in_b):
-            ids_a, ids_b, data = a.ids, b if o else b[2:], unit.encode()
-            same = b"".join(map(self.bytes_a.__getitem__, ids_a)) == data == b"".join(map(self.bytes_b.__getitem__, ids_b))
-            out.append((np.array(ids_a, dtype="<u4").tobytes(), np.array(ids_b, dtype="<u4").tobytes()) if same else None)
-        return out
 
-    def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of a segment, which begins with a blank or line feed."""
-        units = _BREAK.split(text) if _ODD.search(text) else _UNIT.findall(text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [u for u in set(units) if u not in known]
-        long = {}
-        for start in range(0, len(new), 1024):
-            some = new[start : start + 1024]
-            for unit, entry in zip(some, self._entries(some)):
-                (known if len(unit) <= UNIT_CHARS else long)[unit] = entry
-        entries = [known[u] if u in known else long[u] for u in units] if long else list(map(known.__getitem__, units))
-        if None in entries:
+    @staticmethod
+    def _ranked(described: dict, alphabet: dict[str, int]):
+        """The same vocabulary for tiktoken, several times as fast, where merges are in the order of their ids; else None."""
+        model, cut = described["model"], described["pre_tokenizer"] or {}
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and described["normalizer"] is None
+        alike = not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        ordered = [model["vocab"][m] for m in merges] == list(range(256, 256 + len(merges))) and len(model["vocab"]) == 256 + len(merges)
+        if not (plain and alike and ordered):
             return None
-        return tuple(np.frombuffer(b"".join([e[side] for e in entries]), dtype="<u4").astype(np.int64) for side in (0, 1))
+        import tiktoken
+
+        ranks = {bytes(alphabet[c] for c in entry): i for entry, i in model["vocab"].items()}
+        return tiktoken.Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def _ids_a(self, parts: list[str]) -> list[list[int]]:
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(p) for p in parts]
+        return [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def encoded(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of stretches that begin with a blank or line feed; None where the joined bytes of one side aren't the stretch's."""
+        in_a = self._ids_a(parts)
+        # The library puts a blank in front: a stretch's own, or one that a line feed keeps apart. A blank alone needs the second way.
+        own = [len(p) > 1 and p[0] == " " for p in parts]
+        in_b = self.b.encode([p[1:] if o else "\n" + p for p, o in zip(parts, own)], num_threads=1)
+        out: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for part, o, ids_a, b in zip(parts, own, in_a, in_b):
+            ids_b, data = b if o else b[2:], part.encode()
+            same = b"".join(map(self.bytes_a.__getitem__, ids_a)) == data == b"".join(map(self.bytes_b.__getitem__, ids_b))
+            out.append((np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)) if same else None)
+        return out
 
 
-def segments(text: str) -> Iterator[str]:
-    """The text in stretches of about ``SEGMENT`` characters that no token crosses."""
+def stretches(text: str) -> Iterator[str]:
+    """The text in parts of ``STRETCH`` characters or a word more, between which no token reaches."""
     start = 0
     while start < len(text):
-        cut = _BREAK.search(text, start + SEGMENT) if len(text) - start > SEGMENT else None
+        cut = _BREAK.search(text, start + STRETCH) if len(text) - start > STRETCH else None
         end = cut.start() if cut else len(text)
         yield text[start:end]
         start = end
@@ -183,10 +186,13 @@ class Report:
     def __init__(self, row: int, doc_id: int | None) -> None:
         self.row, self.doc_id = row, doc_id
         self.n_a = self.n_b = self.n_groups = self.n_links = 0
+        self.differs = False  # a stretch's joined bytes differ: the document has no tokens
         self.hash = hashlib.sha256()
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def values(self) -> tuple:
+        if self.differs:
+            return Report(self.row, self.doc_id).values()
         pairs, counts = summed(self.pairs)
         shown = self.hash.hexdigest() if self.n_a else ""
         return self.row, self.doc_id, self.n_a, self.n_b, self.n_groups, self.n_links, shown, packed(np.diff(pairs, prepend=0)), packed(counts)
@@ -219,9 +225,13 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<i8").reshape(-1)
 
 
-def _work_on(pair: Pair, digits: Digits, found: list[tuple[Report, np.ndarray, np.ndarray]]) -> None:
-    """Aligns the segments of several documents in one merge; all of them end at common ends."""
-    found = [f for f in found if len(f[1])]
+def _work_on(pair: Pair, digits: Digits, parts: list[tuple[Report, str]]) -> None:
+    """Aligns stretches of several documents in one merge; all of them end at common ends."""
+    found: list[tuple[Report, np.ndarray, np.ndarray]] = []
+    for (report, _), ids in zip(parts, pair.encoded([text for _, text in parts])):
+        report.differs |= ids is None
+        if ids is not None:
+            found.append((report, *ids))
     if not found:
         return
     ids_a, ids_b = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
@@ -234,7 +244,7 @@ def _work_on(pair: Pair, digits: Digits, found: list[tuple[Report, np.ndarray, n
     first = np.flatnonzero(np.diff(keys, prepend=-1))
     counts = np.diff(first, append=len(keys))
     owner, keys = keys[first] // size, keys[first] % size
-    parts = np.searchsorted(owner, np.arange(len(found) + 1))
+    held = np.searchsorted(owner, np.arange(len(found) + 1))
 
     at_a, at_b = group_order(groups_a, groups_b)
     ids = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
@@ -252,7 +262,7 @@ def _work_on(pair: Pair, digits: Digits, found: list[tuple[Report, np.ndarray, n
         if report.n_a:
             report.hash.update(b";")
         report.hash.update(memoryview(text[text_at : end - 1]))
-        lo, hi = parts[n], parts[n + 1]
+        lo, hi = held[n], held[n + 1]
         report.n_a += len(own_a)
         report.n_b += len(own_b)
         report.n_groups += int(before[n]) - group
@@ -285,30 +295,22 @@ def _align(path_a: str, path_b: str):
         for batch in batches:
             rows, ids, texts = (batch.column(c) for c in ("row", "doc_id", "text"))
             reports: list[Report] = []
-            found: list[tuple[Report, np.ndarray, np.ndarray]] = []
+            parts: list[tuple[Report, str]] = []
             size = 0
             for at in range(batch.num_rows):
-                report = Report(rows[at].as_py(), ids[at].as_py())
+                reports.append(Report(rows[at].as_py(), ids[at].as_py()))
                 text = texts[at].as_py()
-                for part in segments(" " + text) if text else ():
-                    both = pair.encoded(part)
-                    if both is None:  # the joined bytes differ: no tokens at all
-                        found = [f for f in found if f[0] is not report]
-                        report = Report(report.row, report.doc_id)
-                        break
-                    found.append((report, *both))
+                for part in stretches(" " + text) if text else ():
+                    parts.append((reports[-1], part))
                     size += len(part)
-                    if size >= SEGMENT:
-                        _work_on(pair, digits, found)
-                        found, size = [], 0
-                reports.append(report)
+                    if size >= WORKED:
+                        _work_on(pair, digits, parts)
+                        parts, size = [], 0
                 if size == 0 or at + 1 == batch.num_rows:
-                    _work_on(pair, digits, found)
-                    found, size = [], 0
+                    _work_on(pair, digits, parts)
+                    parts, size = [], 0
                     yield _rows(reports)
                     reports = []
-            if reports:
-                yield _rows(reports)
 
     return work
 

@@ -115,20 +115,28 @@ def test_alignment_of_documents(documents):
     assert aligned_rows(documents.filter("n_chars < 8000")) == sorted(alignment_by_force(rows), key=repr)
 
 
-def test_alignment_of_a_long_text_in_segments(spark, monkeypatch):
-    """Segments and pieces of a long text give what one segment gives."""
+def test_alignment_of_a_long_text_in_stretches(monkeypatch):
+    """Stretches and pieces of a long text give what one stretch gives; one that differs empties the document."""
     text = " ".join(f"word{i % 97} été, it's {i}!\n" for i in range(4000))
     pair = alignment._pair(BYTE_BPE, PIECE_BPE)
     digits = alignment.Digits(60000)
-    whole = alignment.Report(0, 1)
-    alignment._work_on(pair, digits, [(whole, *pair.encoded(" " + text))])
-    monkeypatch.setattr(alignment, "SEGMENT", 1000)
-    cut = alignment.Report(0, 1)
-    parts = list(alignment.segments(" " + text))
+    whole, cut, bad = (alignment.Report(0, 1) for _ in range(3))
+    alignment._work_on(pair, digits, [(whole, " " + text)])
+    monkeypatch.setattr(alignment, "STRETCH", 1000)
+    parts = list(alignment.stretches(" " + text))
     assert len(parts) > 50 and "".join(parts) == " " + text
-    for part in parts:
-        alignment._work_on(pair, digits, [(cut, *pair.encoded(part))])
+    for n in range(0, len(parts), 7):
+        alignment._work_on(pair, digits, [(cut, part) for part in parts[n : n + 7]])
     assert cut.values() == whole.values()
+    alignment._work_on(pair, digits, [(bad, " fine"), (bad, " not ▁"), (bad, " fine")])
+    assert bad.values() == alignment.Report(0, 1).values()
+
+
+def test_ranks_give_the_library_ids(documents):
+    pair = alignment._pair(BYTE_BPE, PIECE_BPE)
+    texts = [" " + (r["text"] or "") for r in documents.collect()] + [" " + t for _, t in ODD]
+    assert pair.ranked is not None
+    assert pair._ids_a(texts) == [e.ids for e in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
@@ -252,7 +260,7 @@ def test_settled_keys_enter_no_later_run(spark):
     key = lambda docs, a: spark.createDataFrame([(d, a, a) for d in docs], "doc_id long, line_a long, line_b long")
     sizes = []
     for docs in ([9, 8, 7], [6, 5], [4, 3], [2]):
-        runs.add(key(docs, 1).unionByName(key(docs[:1], 2))), 1 << 30)
+        runs.add(key(docs, 1).unionByName(key(docs[:1], 2)), 1 << 30)
         sizes.append([[spark.table(t).filter("line_a = 1").count() for t, _ in level] for level in runs.levels])
     assert sizes == [[[1]], [[], [1]], [[0], [1]], [[], [], [1]]]
     found = {r["line_a"]: (r["keeper"], r["frequent"]) for r in runs.repeated().collect()}
