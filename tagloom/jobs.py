@@ -19,6 +19,7 @@ from tagloom.session import batch_session, size_shuffles
 from tagloom.settings import Settings
 from tagloom.sinks.files import write_extract, write_tuples
 from tagloom.sinks.profile import as_documents, upsert_profile, write_index
+from tagloom.sinks.store import BUCKETS, ProfileStore
 from tagloom.sources.jdbc import configured_tables
 from tagloom.sources.samples import sample_tables
 from tagloom.sources.tables import catalog_tables, parquet_tables, text_lines, with_browse_hours
@@ -91,9 +92,11 @@ def store(spark: SparkSession, job: str, result: DataFrame, args: argparse.Names
     keys = keys_of(job)
     if job in SEVERAL_ROWS_PER_KEY and not args.text:
         result = assemble([result], tuple(keys))
-    if args.index:
-        if not keys:
-            raise SystemExit(f"{job} has no key, so it cannot update an index")
+    if (args.index or args.store) and not keys:
+        raise SystemExit(f"{job} has no key, so it cannot update a profile")
+    if args.store:
+        ProfileStore(spark, args.store, keys, args.buckets).upsert(result)
+    elif args.index:
         resource = f"{args.index}/{document_type(job)}"
         write_index(as_documents(result, keys), resource, json.loads(args.index_options))
     elif args.text:
@@ -119,6 +122,8 @@ def parser() -> argparse.ArgumentParser:
     sink = options.add_mutually_exclusive_group(required=True)
     sink.add_argument("--out", help="target folder, must not exist")
     sink.add_argument("--index", help="search index to upsert into")
+    sink.add_argument("--store", help="profile store: only buckets with fresh keys are rewritten")
+    options.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new store")
     options.add_argument("--index-options", default="{}", help="JSON connector options")
     options.add_argument("--current", help="stored profile to merge the result into")
     options.add_argument("--text", action="store_true", help="write (a,b,c) lines to --out")
