@@ -15,9 +15,9 @@ from tagloom.operators.base import (
     rows,
     tallied,
     total,
-    usages,
 )
 from tagloom.operators.services import order_users
+from tagloom.operators.skew import hot_keys, spread_join
 
 
 def local_restaurants(tables: Tables) -> DataFrame:
@@ -50,23 +50,37 @@ def order_lines(
     )
 
 
+def user_lines(tables: Tables, lines: DataFrame) -> DataFrame:
+    """``lines`` with the user of their order; an order with very many lines is spread."""
+    hot = hot_keys(tables, "restaurant_order_detail2", "fd_code")
+    return spread_join(lines, order_users(tables), "order_no", hot)
+
+
 def user_orders(
-    tables: Tables, lines: DataFrame, /, *keys: str, **sums: Column
+    tables: Tables, lines: DataFrame, by: tuple[str, ...], /, **values: Column
 ) -> DataFrame:
-    """``lines`` added up per order and ``keys``, with the user of the order."""
-    return tallied(lines, "order_no", *keys, **sums).join(order_users(tables), "order_no")
+    """``values`` of the lines with the user of their order.
+
+    Per user alone they are added up per order first, which uses the join's own shuffle; with an
+    item that would be a shuffle more, so the lines themselves are joined.
+    """
+    if by == BY_USER:
+        sums = {name: F.sum(value) for name, value in values.items()}
+        return tallied(lines, "order_no", **sums).join(order_users(tables), "order_no")
+    columns = [value.alias(name) for name, value in values.items()]
+    return user_lines(tables, lines.select("order_no", *by[1:], *columns))
 
 
 def consumption(tables: Tables, by: tuple[str, ...], name: str) -> DataFrame:
     """Number of orders."""
-    orders = user_orders(tables, order_lines(tables, "cprice"), *by[1:])
+    orders = user_orders(tables, order_lines(tables, "cprice"), by, lines=F.lit(1))
     return per_key(orders, by, **{name: total()})
 
 
 def payments(tables: Tables, by: tuple[str, ...]) -> DataFrame:
-    """Paid prices and their number per order (and restaurant)."""
+    """Paid prices and their number, per order or line."""
     lines = order_lines(tables, "xfprice")
-    return user_orders(tables, lines, *by[1:], paid=F.sum(exact("xfprice")), lines=rows())
+    return user_orders(tables, lines, by, paid=exact("xfprice"), lines=F.lit(1))
 
 
 def average_amount(tables: Tables) -> DataFrame:
@@ -84,7 +98,7 @@ def average_amount_tag(tables: Tables) -> DataFrame:
 def orders_per_day(tables: Tables) -> DataFrame:
     """Orders per user, restaurant and day."""
     lines = order_lines(tables, "cprice")
-    orders = user_orders(tables, lines, "item_code", "order_day")
+    orders = user_orders(tables, lines, (*BY_ITEM, "order_day"), lines=F.lit(1))
     return orders.groupBy(*BY_ITEM, "order_day").agg(total().alias("orders"))
 
 
@@ -100,47 +114,64 @@ def multitime_tag(tables: Tables) -> DataFrame:
     return per_key(orders_per_day(tables), BY_USER, rest_multitime_consumption_num=repeated)
 
 
-def redemption_lines(tables: Tables, by: tuple[str, ...]) -> DataFrame:
-    """Redeemed restaurant orders, counted per order (and restaurant)."""
-    redeemed = tables("td_restaurant_order").select(
+def redeemed_orders(tables: Tables) -> DataFrame:
+    """Redeemed restaurant orders: order_no, item_code."""
+    return tables("td_restaurant_order").select(
         F.col("fd_code").alias("order_no"), F.col("fd_restaurant_code").alias("item_code")
     )
-    keys = ("order_no", *by[1:])
-    return tallied(drop_missing(redeemed, *keys), *keys)
+
+
+def redemption_lines(tables: Tables) -> DataFrame:
+    """Redemptions counted per order."""
+    return tallied(drop_missing(redeemed_orders(tables), "order_no"), "order_no")
+
+
+def redemptions(tables: Tables) -> DataFrame:
+    """Redemptions with a restaurant and the user of their order."""
+    lines = drop_missing(redeemed_orders(tables), "order_no", "item_code")
+    hot = hot_keys(tables, "td_restaurant_order", "fd_code")
+    return spread_join(lines, order_users(tables), "order_no", hot)
 
 
 def usage(tables: Tables) -> DataFrame:
     """Redemptions per user and restaurant."""
-    redeemed = redemption_lines(tables, BY_ITEM).join(order_users(tables), "order_no")
-    return per_key(redeemed, BY_ITEM, usage_counter=usages())
+    return per_key(redemptions(tables), BY_ITEM, usage_counter=rows().cast("double"))
 
 
 def usage_tag(tables: Tables) -> DataFrame:
     """Redemptions per user."""
-    redeemed = redemption_lines(tables, BY_USER).join(order_users(tables), "order_no")
+    redeemed = redemption_lines(tables).join(order_users(tables), "order_no")
     return per_key(redeemed, BY_USER, rest_usage_counter=total())
 
 
 def ordered_classes(tables: Tables) -> DataFrame:
-    """Class flags of the ordered details added up per order, with the user: flags, lines."""
+    """Class flags of the ordered details added up per order, with the user: flags, lines.
+
+    Flags are decimals, so their sum is the same for every order of the rows; a text that is no
+    number, or has more than ten digits before the point, is no flag.
+    """
     details = tables("restaurant_order_detail2").select(
         F.col("fd_code").alias("order_no"), "fd_class"
     )
     classes = tables("restaurant_class").select(
-        "fd_class", F.col("fd_cls").try_cast("double").alias("flag")
+        "fd_class", F.col("fd_cls").try_cast("decimal(20,10)").alias("flag")
     )
     flagged = drop_missing(details, "order_no").join(drop_missing(classes, "flag"), "fd_class")
-    return user_orders(tables, flagged, flags=F.sum("flag"), lines=rows())
+    return user_orders(tables, flagged, BY_USER, flags=F.col("flag"), lines=F.lit(1))
+
+
+def prefers_chinese() -> Column:
+    """Whether at least half of the orders belong to the Chinese cuisine: flags against lines, exactly."""
+    return 2 * F.sum("flags") >= F.sum("lines")
 
 
-def preference_word(mean_flag: Column) -> Column:
-    chinese = mean_flag >= 0.5
+def preference_word(chinese: Column) -> Column:
     return F.when(chinese, fixed.PREFERENCE_CHINESE).otherwise(fixed.PREFERENCE_WESTERN)
 
 
 def preference(tables: Tables) -> DataFrame:
     """Cuisine that at least half of a user's orders belong to."""
-    word = preference_word(mean("flags", "lines"))
+    word = preference_word(prefers_chinese())
     return per_key(ordered_classes(tables), BY_USER, restaurant_preferences=word)
 
 

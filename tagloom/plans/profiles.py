@@ -56,11 +56,10 @@ def restaurant_orders(tables: Tables) -> DataFrame:
     orders = restaurants.user_orders(
         tables,
         lines.filter(priced | paid),
-        "item_code",
-        "order_day",
-        orders=F.count_if(priced),
-        payments=F.count_if(paid),
-        paid=F.sum(F.when(paid, exact("xfprice"))),
+        (*BY_ITEM, "order_day"),
+        orders=priced.cast("int"),
+        payments=paid.cast("int"),
+        paid=F.when(paid, exact("xfprice")),
     )
     sums = [F.sum(name).alias(name) for name in ("orders", "payments", "paid")]
     return text_user(orders).groupBy(*BY_ITEM, "order_day").agg(*sums)
@@ -86,14 +85,11 @@ def profile_rest(tables: Tables, settings: Settings) -> DataFrame:
         average_order_amount=mean("paid", "payments"),
         multitime_consumption=F.when(any_orders(), F.bool_or(F.col("orders") > 1)),
     )
-    redeemed = restaurants.redemption_lines(tables, BY_ITEM).join(
-        services.order_users(tables), "order_no"
-    )
     viewed = browsing.page_views(tables, fixed.RESTAURANT_PAGES, "code")
     return assemble(
         [
             orders,
-            keyed(redeemed, BY_ITEM, usage_counter=usages()),
+            keyed(restaurants.redemptions(tables), BY_ITEM, usage_counter=rows().cast("double")),
             keyed(viewed, BY_ITEM, browse_num=rows()),
             # The hand-off file may hold several lines per key; the largest one is kept.
             keyed(restaurants.browse_hours(tables), BY_ITEM, browse_hour=F.max("hours")),
@@ -152,12 +148,13 @@ def profile_shop(tables: Tables, settings: Settings) -> DataFrame:
 
 def paid_service(tables: Tables, table: str, item: str) -> DataFrame:
     """Service orders per user and item with their mean whole amount, from a single join."""
-    lines = services.service_lines(tables, table, item, per_item=True)
+    lines = services.item_lines(tables, table, item, services.paid_orders(tables))
+    paid = F.col("amount").isNotNull().cast("int")
     return keyed(
-        with_payments(lines.join(services.paid_orders(tables), "order_no")),
+        lines.withColumn("payments", paid),
         BY_ITEM,
-        consumption_num=total(),
-        average_order_amount=mean("paid", "payments"),
+        consumption_num=rows(),
+        average_order_amount=mean("amount", "payments"),
     )
 
 
@@ -185,12 +182,10 @@ def profile_parking(tables: Tables, settings: Settings) -> DataFrame:
 
 def profile_cip(tables: Tables, settings: Settings) -> DataFrame:
     """User x CIP product: orders, mean amount, uses."""
-    uses = services.cip_use_lines(tables, per_item=True)
-    used = uses.join(services.order_users(tables), "order_no")
     return assemble(
         [
             paid_service(tables, "tb_order_cip", "pro_code"),
-            keyed(used, BY_ITEM, usage_counter=usages()),
+            keyed(services.cip_uses(tables), BY_ITEM, usage_counter=usages("records")),
         ],
         BY_ITEM,
     )
@@ -220,8 +215,8 @@ def restaurant_order_tags(tables: Tables) -> DataFrame:
 
 def preference_tags(tables: Tables) -> DataFrame:
     """The preference as a number: a text column would turn ``assemble`` into a sort aggregate."""
-    classes = restaurants.ordered_classes(tables)
-    return keyed(classes, BY_USER, mean_flag=mean("flags", "lines"))
+    chinese = restaurants.prefers_chinese().cast("int")
+    return keyed(restaurants.ordered_classes(tables), BY_USER, chinese=chinese)
 
 
 def order_tags(tables: Tables) -> DataFrame:
@@ -236,7 +231,7 @@ def order_tags(tables: Tables) -> DataFrame:
         "vvip": services.service_lines(tables, "tb_order_vvip"),
         "car": services.service_lines(tables, "tb_order_limousine"),
         "parking": services.service_lines(tables, "tb_order_parking"),
-        "redeemed": restaurants.redemption_lines(tables, BY_USER),
+        "redeemed": restaurants.redemption_lines(tables),
         "lounge item": lounges.self_item_lines(tables),
     }
     code = {kind: F.lit(number).cast("tinyint") for number, kind in enumerate(sources)}
@@ -347,8 +342,10 @@ def profile_user_tags(tables: Tables, settings: Settings) -> DataFrame:
         ],
         BY_USER,
     )
-    word = F.when(F.col("mean_flag").isNotNull(), restaurants.preference_word(F.col("mean_flag")))
-    return tags.withColumn("restaurant_preferences", word).drop("mean_flag")
+    word = restaurants.preference_word(F.col("chinese") == 1)
+    return tags.withColumn(
+        "restaurant_preferences", F.when(F.col("chinese").isNotNull(), word)
+    ).drop("chinese")
 
 
 PROFILES = {
