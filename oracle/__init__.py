@@ -134,11 +134,22 @@ VISITS = """
     where b.user_id is not null and starts_with(v.loungecode, 'N')"""
 
 BANNERS = """
-    from tbd_visit_url v
-    join (values ('B1', 'https://activity.example.org/newest'),
-                 ('B2', 'https://activity.example.org/lucky/')) b(item_code, prefix)
-      on starts_with(v.url, b.prefix)
-    where trim(v.user_id) <> ''"""
+    from (select user_id,
+                 case when starts_with(url, 'https://activity.example.org/newest') then 'B1'
+                      when starts_with(url, 'https://activity.example.org/lucky/') then 'B2'
+                      when starts_with(url, 'https://activity.example.org/page3/deep') then 'B12'
+                      when starts_with(url, 'https://activity.example.org/page3/') then 'B3'
+                      when starts_with(url, 'https://activity.example.org/page4/') then 'B4'
+                      when starts_with(url, 'https://activity.example.org/page5/') then 'B5'
+                      when starts_with(url, 'https://activity.example.org/page6/') then 'B6'
+                      when starts_with(url, 'https://activity.example.org/page7/') then 'B7'
+                      when starts_with(url, 'https://activity.example.org/page8/') then 'B8'
+                      when starts_with(url, 'https://activity.example.org/page9/') then 'B9'
+                      when starts_with(url, 'https://activity.example.org/page10/') then 'B10'
+                      when starts_with(url, 'https://activity.example.org/page11/') then 'B11'
+                 end banner
+          from tbd_visit_url) v
+    where banner is not null and trim(v.user_id) <> ''"""
 
 READS = """
     (select user_id, split_part(split_part(url, '/', 5), '?', 1) item_code from tbd_visit_url
@@ -217,7 +228,7 @@ METRIC_SQL: dict[str, str] = {
     {CIP_USES} group by all""",
     "vvip_collection": collection("M"),
     "banner_browse": f"""
-    select v.user_id, b.item_code, count(*) browse_num {BANNERS} group by all""",
+    select v.user_id, banner item_code, count(*) browse_num {BANNERS} group by all""",
     "article_browse": f"""
     select user_id, item_code, count(*) browse_num from {READS} group by all""",
     "article_favor": """
@@ -407,6 +418,18 @@ def with_views(sql: str) -> str:
     return f"with {ctes}\n{sql}"
 
 
+LOOKUP_SQL = {
+    "banner_table_browse": """
+    select user_id, id item_code, count(*) browse_num
+    from (select v.user_id, v.url, v.n, p.id
+          from (select *, row_number() over () n from tbd_visit_url) v
+          join (select prefix, min(id) id from banner_prefixes group by prefix) p on starts_with(v.url, p.prefix)
+          where trim(v.user_id) <> ''
+          qualify row_number() over (partition by v.n order by length(p.prefix) desc) = 1)
+    group by all""",
+}
+
+
 def all_sql() -> dict[str, str]:
-    queries = {**METRIC_SQL, **{name: profile_sql(name) for name in PROFILES}}
+    queries = {**METRIC_SQL, **LOOKUP_SQL, **{name: profile_sql(name) for name in PROFILES}}
     return {name: with_views(sql) for name, sql in queries.items()}

@@ -17,21 +17,34 @@ from tagloom.functions.exprs import (
     valid_users,
 )
 from tagloom.operators.base import BY_ITEM, BY_USER, Tables, per_key, rows
+from tagloom.operators.prefixes import longest_prefix
+from tagloom.settings import Settings
 
 
-def banner_visits(tables: Tables, banners: Mapping[str, str]) -> DataFrame:
+Banners = Mapping[str, str] | DataFrame
+"""Prefixes by banner id: a few as a mapping, any number as ``id, prefix`` rows."""
+
+
+def banners_of(tables: Tables, settings: Settings) -> Banners:
+    return tables(settings.banner_table) if settings.banner_table else settings.banners
+
+
+def banner_visits(tables: Tables, banners: Banners) -> DataFrame:
     """Visits whose URL starts with a banner's prefix; the item code is the banner id."""
+    if isinstance(banners, DataFrame):
+        visits = valid_users(tables("tbd_visit_url").select("user_id", "url"))
+        return longest_prefix(visits, "url", banners, "item_code").drop("url")
     visits = tables("tbd_visit_url").filter(has_prefix("url", banners.values()))
     matched = visits.select("user_id", prefix_lookup("url", banners).alias("item_code"))
     return valid_users(matched)
 
 
-def banner_browse(tables: Tables, banners: Mapping[str, str]) -> DataFrame:
+def banner_browse(tables: Tables, banners: Banners) -> DataFrame:
     """Visits per user and banner."""
     return per_key(banner_visits(tables, banners), BY_ITEM, browse_num=rows())
 
 
-def banner_browse_tag(tables: Tables, banners: Mapping[str, str]) -> DataFrame:
+def banner_browse_tag(tables: Tables, banners: Banners) -> DataFrame:
     """Banner visits per user."""
     return per_key(banner_visits(tables, banners), BY_USER, banner_browse_num=rows())
 

@@ -21,6 +21,13 @@ from tagloom.settings import Settings
 
 Metric = Callable[[Tables, Settings], DataFrame]
 
+BANNER_TABLE = Settings(banner_table="banner_prefixes")
+
+#: Lookups in tables of any size where the metrics use a few fixed values.
+LOOKUPS: dict[str, Metric] = {
+    "banner_table_browse": lambda t, s: visits.banner_browse(t, visits.banners_of(t, BANNER_TABLE)),
+}
+
 ITEM_METRICS: dict[str, Metric] = {
     "rest_consumption": lambda t, s: restaurants.consumption(t, BY_ITEM, "consumption_num"),
     "rest_avg_amount": lambda t, s: restaurants.average_amount(t),
@@ -48,7 +55,7 @@ ITEM_METRICS: dict[str, Metric] = {
     "cip_avg_amount": lambda t, s: services.average_amount(t, "tb_order_cip", "pro_code"),
     "cip_usage": lambda t, s: services.cip_usage(t),
     "vvip_collection": lambda t, s: favourites.collection(t, fixed.VVIP_PREFIX),
-    "banner_browse": lambda t, s: visits.banner_browse(t, s.banners),
+    "banner_browse": lambda t, s: visits.banner_browse(t, visits.banners_of(t, s)),
     "article_browse": lambda t, s: visits.article_browse(t, s.article_prefix),
     "article_favor": lambda t, s: visits.article_favor(t),
 }
@@ -82,7 +89,7 @@ USER_TAGS: dict[str, Metric] = {
     "shop_collection_tag": lambda t, s: favourites.collection_tag(
         t, "shop_collection_num", fixed.SHOP_PREFIX
     ),
-    "banner_browse_tag": lambda t, s: visits.banner_browse_tag(t, s.banners),
+    "banner_browse_tag": lambda t, s: visits.banner_browse_tag(t, visits.banners_of(t, s)),
     "article_browse_tag": lambda t, s: visits.article_browse_tag(t, s.article_prefix),
     "article_favor_tag": lambda t, s: visits.article_favor_tag(t),
     "article_labels": lambda t, s: visits.article_labels(t, s.article_prefix),

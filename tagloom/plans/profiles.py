@@ -308,7 +308,17 @@ def collection_tags(tables: Tables) -> DataFrame:
 
 
 def visit_log_tags(tables: Tables, settings: Settings) -> DataFrame:
-    """Banner visits and article reads from one pass over the visit log."""
+    """Banner visits and article reads, from one pass over the visit log if the banners are few."""
+    if settings.banner_table:
+        banners = visits.banner_visits(tables, visits.banners_of(tables, settings))
+        reads = visits.article_reads(tables, settings.article_prefix)
+        return assemble(
+            [
+                keyed(banners, BY_USER, banner_browse_num=rows()),
+                keyed(reads, BY_USER, article_browse_num=rows()),
+            ],
+            BY_USER,
+        )
     article = F.col("url").startswith(settings.article_prefix) & (article_id("url") != "")
     banner = has_prefix("url", settings.banners.values())
     log = tables("tbd_visit_url").select("user_id", "url")

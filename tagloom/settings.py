@@ -80,7 +80,19 @@ class Settings:
         default_factory=lambda: {
             "B1": "https://activity.example.org/newest",
             "B2": "https://activity.example.org/lucky/",
+            "B3": "https://activity.example.org/page3/",
+            "B4": "https://activity.example.org/page4/",
+            "B5": "https://activity.example.org/page5/",
+            "B6": "https://activity.example.org/page6/",
+            "B7": "https://activity.example.org/page7/",
+            "B8": "https://activity.example.org/page8/",
+            "B9": "https://activity.example.org/page9/",
+            "B10": "https://activity.example.org/page10/",
+            "B11": "https://activity.example.org/page11/",
+            "B12": "https://activity.example.org/page3/deep",
         }
     )
+    #: Table with ``id, prefix`` rows, of any size, that takes the place of ``banners``.
+    banner_table: str = ""
     page_order: int = 1
     log_time_zone: str = "UTC"

@@ -30,6 +30,7 @@ CONNECTION_OF_TABLE: dict[str, int] = {
     "tbd_url_element": 2,
     "tbd_visit_url": 2,
     "tbd_app_opera_path": 2,
+    "banner_prefixes": 2,
     "tb_order_cip": 3,
     "tb_order_cip_record": 3,
     "tb_order_vvip": 3,

@@ -122,21 +122,26 @@ VIEWS: dict[str, str] = {
                                 '","code":"',
                                 case when event_id % 24 = 0 then 'X'
                                      when event_id % 8 = 1 then 'N' else 'R' end,
-                                cast(event_id % 20 as string),
-                                '","shopCode":"F', cast(event_id % 20 as string),
-                                '","parkingCode":"P', cast(event_id % 20 as string),
+                                cast(item as string),
+                                '","shopCode":"F', cast(item as string),
+                                '","parkingCode":"P', cast(item as string),
                                 '"}}') end param,
                substr(cast(ts as string),1,19) begin_date
-        from {events}""",
+        from (select event_id, user_id, ts, cast(floor(event_id / 8) as bigint)
+                                            % (select count(*) from {supplier}) item
+              from {events}) view""",
     "tbd_visit_url": """
         select case when event_id % 40 = 0 then null else cast(user_id as string) end user_id,
                case event_id % 4
                     when 0 then concat('https://m.example.org/institute/', cast(page as string),
                                        '?src=feed')
-                    when 1 then 'https://activity.example.org/newest/a'
+                    when 1 then concat('https://activity.example.org/',
+                                       case place when 0 then 'newest/a' when 1 then 'lucky/b?x=1'
+                                            when 2 then 'page3/deep?y'
+                                            else concat('page', cast(place as string), '/z') end)
                     when 2 then 'https://activity.example.org/lucky/b?x=1'
                     else url end url
-        from (select event_id, user_id,
+        from (select event_id, user_id, cast(floor(event_id / 4) as bigint) % 12 place,
                      cast(floor(event_id / 4) as bigint) % (select count(*) from {pages}) page
               from {events}) visit
         join {pages} on page = page_id""",
@@ -174,8 +179,12 @@ VIEWS: dict[str, str] = {
                     else event_type end page_name,
                ts page_time, event_id - 1 page_parent_id
         from {events}""",
+    "banner_prefixes": """
+        select concat('P', cast(page_id as string)) id, url prefix from {pages}
+        union all select 'site' id, 'https://' prefix""",
     "browse_hours": """
-        select concat('(', cast(user_id as string), ',R', cast(event_id % 20 as string), ',',
+        select concat('(', cast(user_id as string), ',R',
+                      cast(event_id % (select count(*) from {supplier}) as string), ',',
                       cast(cast(floor(value) as bigint) % 24 as string), ')') line
         from {events}""",
 }

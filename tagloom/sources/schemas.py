@@ -37,6 +37,7 @@ SCHEMAS: dict[str, str] = {
         "page_parent_id bigint"
     ),
     "browse_hours": "line string",
+    "banner_prefixes": "id string, prefix string",
 }
 
 

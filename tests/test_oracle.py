@@ -5,11 +5,11 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SAMPLE_DIR
-from tagloom.plans.metrics import METRICS
+from tagloom.plans.metrics import LOOKUPS, METRICS
 from tagloom.plans.profiles import PROFILES
 
 #: The queries of this library proper; the training-data operators have tests of their own.
-OWN = sorted({**METRICS, **PROFILES})
+OWN = sorted({**METRICS, **PROFILES, **LOOKUPS})
 
 ALL_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -30,7 +30,7 @@ def duck():
 def test_every_query_has_a_twin():
     assert set(OWN) <= set(queries()) and set(OWN) <= set(oracle_sql())
     assert set(oracle_sql()) <= set(queries())
-    assert len(OWN) == 27 + 35 + 1 + 5 + 7
+    assert len(OWN) == 27 + 35 + 1 + 5 + 7 + len(LOOKUPS)
 
 
 @pytest.mark.parametrize("name", OWN)
