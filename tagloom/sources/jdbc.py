@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,15 +65,88 @@ def by_position(df: DataFrame, positions: Mapping[str, int]) -> DataFrame:
     return df.select(*[F.col(f"`{names[at]}`").alias(name) for name, at in positions.items()])
 
 
+@dataclass(frozen=True)
+class DepthScan:
+    """Split a scan into about ``partitions`` parts of equally many rows, by the values of a column.
+
+    The database counts the rows per cell of ``width`` values (one value each by default) in one
+    query; the bounds are taken from these counts. ``width`` is for columns of numbers with very many
+    values: ``cells`` counts are read at most, and more are refused.
+    """
+
+    column: str
+    partitions: int
+    width: float | None = None
+    cells: int = 1_000_000
+
+
+def histogram_query(table: str, split: DepthScan) -> str:
+    """The one aggregate over the split column, as a table expression for a JDBC read."""
+    column = split.column
+    cell = column if split.width is None else f"floor({column} / {split.width}) * {split.width}"
+    counted = f"select {cell} as cell, count(*) as n from {table} where {column} is not null"
+    return f"({counted} group by {cell}) histogram"
+
+
+def depth_bounds(counts: Sequence[tuple], partitions: int) -> list:
+    """Lower bounds of the parts but the first, from (cell, rows) pairs.
+
+    A part takes cells while it has no more than an N-th of the rows; only a cell that has more than
+    that is a part with more, by itself. Two neighbours have more than an N-th together, so there
+    are fewer than 2 N + 1 parts.
+    """
+    share = sum(n for _, n in counts) / partitions
+    bounds, filled = [], 0
+    for cell, n in sorted(counts):
+        if filled and filled + n > share:
+            bounds.append(cell)
+            filled = 0
+        filled += n
+    return bounds
+
+
+def sql_value(value) -> str:
+    """A bound as a SQL literal: numbers as they are, dates and texts quoted."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def depth_predicates(column: str, bounds: Sequence) -> list[str]:
+    """Predicates of which every row meets exactly one: below the first bound or NULL, between two, from the last on.
+
+    Rows that come in after the count, whatever their values, are in one of them as well.
+    """
+    if not bounds:
+        return ["1 = 1"]
+    shown = [sql_value(b) for b in bounds]
+    first = f"({column} < {shown[0]} or {column} is null)"
+    between = [f"({column} >= {low} and {column} < {high})" for low, high in pairwise(shown)]
+    return [first, *between, f"{column} >= {shown[-1]}"]
+
+
+def depth_split(
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str], split: DepthScan
+) -> list[str]:
+    """The predicates of ``split`` for the table as it is now."""
+    found = spark.read.jdbc(url, histogram_query(table, split), properties=dict(properties))
+    counts = [(cell, int(n)) for cell, n in found.limit(split.cells + 1).collect()]
+    if len(counts) > split.cells:
+        raise ValueError(f"{table}.{split.column} has more than {split.cells} cells: give a width")
+    return depth_predicates(split.column, depth_bounds(counts, split.partitions))
+
+
 def scan(
     spark: SparkSession,
     url: str,
     table: str,
     properties: Mapping[str, str],
-    split: RangeScan | Sequence[str] | None = None,
+    split: RangeScan | DepthScan | Sequence[str] | None = None,
 ) -> DataFrame:
     """One table: a single query, one query per range, or one query per predicate."""
     options = dict(properties)
+    if isinstance(split, DepthScan):
+        split = depth_split(spark, url, table, options, split)
     if split is None:
         return spark.read.jdbc(url, table, properties=options)
     if isinstance(split, RangeScan):
@@ -103,11 +178,14 @@ def tail_predicates(ranges=TAIL_RANGES) -> list[str]:
 # The range-partitioned scan of the page-path log.
 PATH_SCAN = RangeScan("page_order", 1, 1500, 8)
 
+# The same scan for jobs run from the command line: by the page positions as they are distributed.
+PATH_DEPTH = DepthScan("page_order", 8)
+
 
 def jdbc_tables(
     spark: SparkSession,
     connections: Mapping[int, tuple[str, Mapping[str, str]]],
-    splits: Mapping[str, RangeScan | Sequence[str]] | None = None,
+    splits: Mapping[str, RangeScan | DepthScan | Sequence[str]] | None = None,
     connection_of: Mapping[str, int] = CONNECTION_OF_TABLE,
 ) -> Callable[[str], DataFrame]:
     """Tables read from up to three connections, each a (url, properties) pair.
@@ -150,9 +228,11 @@ def job_connections(job: str) -> dict[str, int]:
     return {}
 
 
-def split_from(given: Mapping | Sequence[str]) -> RangeScan | list[str]:
-    """A split as JSON has it: {column, lower, upper, partitions} or a list of predicates."""
-    return RangeScan(**given) if isinstance(given, Mapping) else list(given)
+def split_from(given: Mapping | Sequence[str]) -> RangeScan | DepthScan | list[str]:
+    """A split as JSON has it: {column, partitions}, with lower and upper for fixed strides, or predicates."""
+    if not isinstance(given, Mapping):
+        return list(given)
+    return RangeScan(**given) if "lower" in given else DepthScan(**given)
 
 
 def configured_tables(
@@ -178,7 +258,8 @@ def configured_tables(
         number: (entry["url"], {**fetch, **entry.get("properties", {})})
         for number, entry in enumerate(config["connections"], start=1)
     }
-    scans = {**JOB_SPLITS.get(job, {}), **{name: split_from(s) for name, s in splits.items()}}
+    scans = {"tbd_app_opera_path": PATH_DEPTH, **JOB_SPLITS.get(job, {})}
+    scans = {**scans, **{name: split_from(s) for name, s in splits.items()}}
     return jdbc_tables(
         spark, connections, scans, {**CONNECTION_OF_TABLE, **job_connections(job), **chosen}
     )
