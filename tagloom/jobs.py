@@ -13,10 +13,12 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.operators.base import BY_ITEM, BY_USER
-from tagloom.plans.metrics import EXTRACTS, ITEM_FACTS, METRICS, USER_TAGS
+from tagloom.plans.daily import daily_metrics
+from tagloom.plans.metrics import EXTRACTS, ITEM_FACTS, ITEM_METRICS, METRICS, USER_TAGS
 from tagloom.plans.profiles import PROFILES, assemble
 from tagloom.session import batch_session, size_shuffles
 from tagloom.settings import Settings
+from tagloom.sinks.days import DayStates
 from tagloom.sinks.files import write_extract, write_tuples
 from tagloom.sinks.profile import as_documents, upsert_profile, write_index
 from tagloom.sinks.store import BUCKETS, ProfileStore
@@ -70,6 +72,25 @@ def run(job: str, tables: Callable[[str], DataFrame], settings: Settings) -> Dat
     return JOBS[job](tables, settings)
 
 
+def run_day(
+    spark: SparkSession,
+    job: str,
+    day: str,
+    root: str,
+    tables: Callable[[str], DataFrame],
+    settings: Settings,
+) -> DataFrame:
+    """Put a day's rows into the states of a metric and fold all days to its result.
+
+    The metric's own table holds the day's rows, all others are whole. A day that is given again
+    replaces what it had.
+    """
+    daily = daily_metrics()[job]
+    states = DayStates(spark, f"{root.rstrip('/')}/{job}")
+    states.put(day, daily.of_day(tables, settings))
+    return daily.folded(states.read())
+
+
 def settings_from(path: str | None) -> Settings:
     return Settings(**json.loads(Path(path).read_text())) if path else Settings()
 
@@ -126,6 +147,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new store")
     options.add_argument("--index-options", default="{}", help="JSON connector options")
     options.add_argument("--current", help="stored profile to merge the result into")
+    options.add_argument("--states", help="folder of the states by day, for metrics and tags")
+    options.add_argument("--day", help="the day whose rows the metric's table holds")
     options.add_argument("--text", action="store_true", help="write (a,b,c) lines to --out")
     return options
 
@@ -133,7 +156,13 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = batch_session(f"tagloom {args.job}", args.shuffle_bytes, args.zone)
-    result = run(args.job, tables_from(spark, args), settings_from(args.settings))
+    tables, settings = tables_from(spark, args), settings_from(args.settings)
+    if args.states:
+        if args.job not in {**ITEM_METRICS, **USER_TAGS} or not args.day:
+            raise SystemExit("--states needs a metric or tag, and --day")
+        result = run_day(spark, args.job, args.day, args.states, tables, settings)
+    else:
+        result = run(args.job, tables, settings)
     if args.shuffle_bytes is None:
         size_shuffles(spark, result)
     store(spark, args.job, result, args)

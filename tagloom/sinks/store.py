@@ -46,17 +46,11 @@ class Manifest:
     folders: dict[str, str]
 
 
-class ProfileStore:
-    """Versions of one profile below ``root``, on any file system that Spark reaches."""
+class Versions:
+    """Numbered manifests below a root folder, each published by one rename."""
 
-    def __init__(
-        self, spark: SparkSession, root: str, keys: list[str], buckets: int = BUCKETS
-    ) -> None:
-        self.spark, self.root, self.keys = spark, root.rstrip("/"), keys
-        found = self.manifest()
-        if found is not None and found.keys != keys:
-            raise ValueError(f"this profile has the keys {found.keys}")
-        self.buckets = buckets if found is None else found.buckets
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
 
     # Files, through Hadoop's interface, so that the driver needs no local path.
 
@@ -72,33 +66,48 @@ class ProfileStore:
             return []
         return sorted(str(s.getPath().getName()) for s in files.listStatus(folder))
 
-    # Versions.
-
     def versions(self) -> list[int]:
         names = self._names("manifests")
         return [int(n.removesuffix(".json")) for n in names if n[0].isdigit()]
 
-    def manifest(self, version: int | None = None) -> Manifest | None:
-        """A version's manifest, by default the newest; None while there is none."""
+    def _content(self, version: int | None = None) -> dict | None:
+        """What a version's manifest holds, by default the newest's; None while there is none."""
         known = self.versions()
         if not known and version is None:
             return None
         version = known[-1] if version is None else version
-        text = self.spark.read.text(
-            str(self._path("manifests", f"{version:010d}.json")), wholetext=True
-        )
-        return Manifest(**json.loads(text.first()["value"]))
+        path = str(self._path("manifests", f"{version:010d}.json"))
+        return json.loads(self.spark.read.text(path, wholetext=True).first()["value"])
 
-    def _publish(self, manifest: Manifest) -> None:
-        files = self._files()
+    def _publish(self, content: dict) -> None:
+        files, version = self._files(), content["version"]
         draft = self._path("manifests", f"_draft-{uuid.uuid4().hex}")
-        target = self._path("manifests", f"{manifest.version:010d}.json")
+        target = self._path("manifests", f"{version:010d}.json")
         stream = files.create(draft, False)
-        stream.write(bytearray(json.dumps(asdict(manifest)).encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
         stream.close()
         if files.exists(target) or not files.rename(draft, target):
             files.delete(draft, False)
-            raise Conflict(f"version {manifest.version} was published by another writer")
+            raise Conflict(f"version {version} was published by another writer")
+
+
+class ProfileStore(Versions):
+    """Versions of one profile below ``root``, on any file system that Spark reaches."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, keys: list[str], buckets: int = BUCKETS
+    ) -> None:
+        super().__init__(spark, root)
+        self.keys = keys
+        found = self.manifest()
+        if found is not None and found.keys != keys:
+            raise ValueError(f"this profile has the keys {found.keys}")
+        self.buckets = buckets if found is None else found.buckets
+
+    def manifest(self, version: int | None = None) -> Manifest | None:
+        """A version's manifest, by default the newest; None while there is none."""
+        content = self._content(version)
+        return None if content is None else Manifest(**content)
 
     # Rows.
 
@@ -156,7 +165,7 @@ class ProfileStore:
             self._write(merge_profile(self._rows(before, merging), changed, self.keys), target)
             folders.update({b: f"{target}/{BUCKET}={b}" for b in merging})
         manifest = Manifest(version, self.keys, self.buckets, columns.jsonValue(), folders)
-        self._publish(manifest)
+        self._publish(asdict(manifest))
         return manifest
 
     def _columns(self, before: Manifest | None, fresh: DataFrame) -> StructType:
