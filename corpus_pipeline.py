@@ -26,11 +26,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates stays."""
+    """The row with the smallest doc_id of each group of near duplicates stays.
+
+    Groups are made of rows, so of a row that is there twice one stays, and rows without a doc_id are linked by
+    their texts like others; they stay only where no row of their group has a doc_id. Of equal doc_ids any one row
+    stays. Null, empty and blank texts are in no group and stay.
+    """
     ship(spark)
-    docs = docs.select(*COLUMNS)
-    gone = saved(minhash.near_duplicates(docs, width=5, percent=80).filter("not kept").select("doc_id").distinct(), "near")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = saved(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), width=5, percent=80)
+    groups = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
+    first = groups.join(rows.select("row", "doc_id"), "row").groupBy("group").agg(F.min(rank).alias("first"))
+    kept = saved(first.select("first.row"), "near")
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +74,7 @@ STAGES = [
     ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 
-#: Stages 1, 3, 4 and 5 have no SQL form; tests hold them against brute force.
+#: The stages have no SQL form: tests hold them against plain versions on the rows that come before each.
 ORACLE_SQL = None
 
 
