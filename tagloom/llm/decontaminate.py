@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.fmindex import FMIndex
-from tagloom.llm.hashing import packs, word_bounds, word_hashes
+from tagloom.llm.hashing import by_bytes, packs, word_bounds, word_hashes
 from tagloom.llm.repeats import text_keys
 from tagloom.llm.scratch import saved
 
@@ -108,7 +108,7 @@ def search(phrases):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Phrases = phrases.value
-        for batch in batches:
+        for batch in by_bytes(batches, "data"):
             texts = [x or b"" for x in batch.column("data").to_pylist()]
             for i, j in packs(texts, SHARD_BYTES):
                 hashes, starts, ends, first, begins = _words(texts[i:j])
@@ -230,9 +230,10 @@ def hit_words():
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    """Texts without their spans, which are the last column."""
+    for batch in by_bytes(batches, "text"):
         texts = []
-        for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             if spans:
                 parts, end = [], 0
                 for s in spans:
@@ -240,8 +241,8 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     end = max(end, s["high"])
                 text = b"".join([*parts, text[end:]])
             texts.append(text)
-        names = [n for n in batch.schema.names if n != "spans"]
-        columns = [pa.array(texts, pa.binary()).cast(pa.string()) if n == "text" else batch.column(n) for n in names]
+        names = batch.schema.names[:-1]
+        columns = [pa.array(texts, pa.binary()).cast(pa.string()) if n == "text" else batch.column(i) for i, n in enumerate(names)]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
@@ -251,9 +252,21 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     Rows and columns stay as they are; null texts stay null, a text that was all hit becomes empty.
     """
     phrases, _ = test_phrases(benchmark, window)
-    found = hits(docs, phrases).filter(F.size("phrases") > 0).select(F.col("text_a").alias("_a"), F.col("text_b").alias("_b"), F.col("spans").alias("_spans"))
-    found = saved(found.dropDuplicates(["_a", "_b"]), "spans")
+    name_a, name_b, name_spans = free_names(docs, "a", "b", "spans")
+    found = hits(docs, phrases).filter(F.size("phrases") > 0).select(F.col("text_a").alias(name_a), F.col("text_b").alias(name_b), F.col("spans").alias(name_spans))
+    found = saved(found.dropDuplicates([name_a, name_b]), "spans")
     a, b = text_keys()
-    cut = docs.select("*", a.alias("_a"), b.alias("_b")).join(found, ["_a", "_b"], "left").drop("_a", "_b").withColumnRenamed("_spans", "spans")
+    cut = docs.select("*", a.alias(name_a), b.alias(name_b)).join(found, [name_a, name_b], "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return cut.select(*docs.columns, "spans").mapInArrow(_without, schema)
+    return cut.select(*docs.columns, name_spans).mapInArrow(_without, schema)
+
+
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that begin like ``names`` and that ``docs`` doesn't have, whatever their case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
@@ -17,6 +19,8 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: A flat array holds about this many bytes, or one longer document.
 FLAT_BYTES = 1 << 21
+#: Texts of about so many bytes are objects of a task at once, or one longer text.
+SLICE_BYTES = 1 << 22
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -80,6 +84,15 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose ``column`` has about ``limit`` bytes, or one row; Spark cuts them by rows."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit, prepend=-1)).tolist()
+        for i, j in zip(starts, [*starts[1:], len(sizes)]):
+            yield batch.slice(i, j - i)
+
+
 def packs(texts: list[bytes], limit: int = FLAT_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges [i, j) of documents whose bytes fit one flat array."""
     begin, size = 0, 0

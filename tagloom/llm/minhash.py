@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.hashing import mixed, packs, word_bounds, word_hashes
+from tagloom.llm.hashing import by_bytes, mixed, packs, word_bounds, word_hashes
 from tagloom.llm.links import components
 from tagloom.llm.scratch import release, saved
 
@@ -79,7 +79,7 @@ def _longs(x: np.ndarray, per_row: int) -> pa.ListArray:
 
 def signatures(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             texts = _texts(batch)
             done = 0
             for i, j in packs(texts):
@@ -124,7 +124,7 @@ def _signed(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
 
 def full_sets(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "text"):
             texts = _texts(batch)
             for i, j in packs(texts):
                 sets = list(shingle_sets(texts[i:j], width))

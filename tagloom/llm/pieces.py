@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Words whose ids a task remembers.
 REMEMBERED = 1 << 17
+#: Longer words are not remembered, so that the bytes of all are bounded.
+WORD_CHARS = 64
 #: Bytes of input after which a task hands out its rows; a longer text goes alone.
 HANDED_BYTES = 1 << 22
 #: Characters after which the search looks for a common boundary, if none has shown by itself.
@@ -300,8 +302,11 @@ class Model:
             words, head = self.words.findall(text), ""
         known = self.known
         if head:
+            long = {}
             for word in set(words).difference(known):
-                known[word] = self._packed(head + word)
+                (known if len(word) <= WORD_CHARS else long)[word] = self._packed(head + word)
+            if long:
+                return b"".join([long[w] if len(w) > WORD_CHARS else known[w] for w in words])
             return b"".join(map(known.__getitem__, words))
         return b"".join([known[w[1:]] if w[1:] in known and w[:1] == SPACE and w[1:2] != SPACE else self._packed(w) for w in words])
 

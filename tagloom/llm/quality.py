@@ -158,7 +158,8 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ``kept`` is false where the base rules fail or a divergence passes its limit. Null and blank texts
     have no words and fail the base rules; a null language is a language of its own. An empty
     histogram, or words of a language without a list, have a null divergence that rejects nothing. Repeated
-    rows are judged alike. Columns of the same names as the measures keep their values.
+    rows are judged alike. Columns of the same names as the measures keep their values; a
+    column ``_quality`` is replaced.
     """
     thin = docs.select("text", "lang")
     reference = saved(references(histograms(thin)), "references")
@@ -172,9 +173,10 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     # The row number changes nothing; it keeps the optimizer from moving a later test of these columns
     # below the columns that they are made of, where each use of a histogram would compute it anew.
     rows = rows.withColumn("kept", ~F.col("base_failed") & usual & (F.monotonically_increasing_id() >= 0))
-    return rows.select("_row.*", F.struct(*MEASURES).alias("_quality"))
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != "_quality"], F.struct(*MEASURES).alias("_quality"))
 
 
 def accepted(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps."""
-    return judged(docs, rules).filter("_quality.kept").drop("_quality")
+    """The rows of ``docs`` that ``judged`` keeps; columns of any names ride along."""
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), "text", "lang")
+    return judged(packed, rules).filter("_quality.kept").select("doc.*")

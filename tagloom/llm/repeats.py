@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.hashing import FLAT_BYTES, FlatHash, mixed
+from tagloom.llm.hashing import FLAT_BYTES, FlatHash, by_bytes, mixed
 from tagloom.llm.scratch import discard, release, saved
 
 LENGTH = 200
@@ -79,7 +79,7 @@ def runs_of(length: int):
     """Per run of suffixes: its place, its anchor's hash and the hash of the bytes it spans."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "data"):
             texts = [x or b"" for x in batch.column("data").to_pylist()]
             keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "text_a")]
             for pack in _pieces(texts, length):
@@ -133,7 +133,7 @@ def quarters_of(length: int):
     width = reach // QUARTERS + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "context"):
             hashes, begins, c = _contexts(batch)
             for q in range(QUARTERS):
                 near, far = q * width, min(q * width + width - 1, reach)
@@ -165,7 +165,7 @@ def suffixes_of(length: int):
     """Per suffix: the hash of its first ``length`` bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "context"):
             hashes, begins, c = _contexts(batch)
             counts = c["last"] - c["start"] + 1
             row = np.repeat(np.arange(len(counts)), counts)
@@ -286,7 +286,7 @@ def to_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 def _cut(length: int, characters: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, "data"):
             kept, removed, count = [], [], []
             for data, spans in zip(batch.column("data").to_pylist(), batch.column("spans").to_pylist()):
                 data = data or b""

@@ -285,3 +285,86 @@ def test_matches_sql(spark, name):
     assert sorted(names) == sorted(ours.columns)
     expected = sorted((tuple(row) for row in found.fetchall()), key=repr)
     assert sorted((tuple(r[c] for c in names) for r in ours.collect()), key=repr) == expected and expected
+
+
+def stage(name):
+    import corpus_pipeline
+
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def pipeline_rows(spark, rows):
+    ship(spark)
+    made = [(i, t, "en", "s", 0 if t is None else len(t)) for i, t in rows]
+    return spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+LONG_A, LONG_B = (" ".join(f"{x}{i * 7919 % 1000}" for i in range(80)) for x in "ab")
+
+
+def test_a_repeated_row_keeps_one_copy_through_the_pipeline(spark):
+    rows = [(1, LONG_A), (1, LONG_A), (None, LONG_A), (None, LONG_B), (None, LONG_B), (2, None), (None, None), (3, ""), (3, " "), (4, LONG_A + " end"), (5, "short")]
+    near = stage("near_duplicates")(spark, pipeline_rows(spark, rows), SF)
+    kept = sorted(((r["doc_id"], r["text"]) for r in near.collect()), key=repr)
+    assert kept == sorted([(1, LONG_A), (None, LONG_B), (2, None), (None, None), (3, ""), (3, " "), (5, "short")], key=repr)
+    cut = stage("suffix_array_dedup")(spark, near, SF)
+    assert sorted(r["n_chars"] for r in cut.collect())[-2:] == sorted([len(LONG_A), len(LONG_B)])
+
+
+def five_word_sets(rows):
+    out = []
+    for _, text in rows:
+        words = "".join(c.lower() if c in lines.UPPER else c for c in text or "").split(" ") if text and not any(c in text for c in "\t\n\x0b\f\r") else None
+        if words is None:
+            words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c in lines.UPPER else c for c in text or ""))]
+        words = [w for w in words if w]
+        out.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set()))
+    return out
+
+
+def test_near_duplicate_stage_against_all_pairs(spark):
+    """On the documents that the quality rules keep: one row of each group of five-word sets at 0.8 stays."""
+    ship(spark)
+    docs = stage("quality_rules")(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).cache()
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    sets, root = five_word_sets(rows), list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    expected = [rows[i][0] for i in range(len(rows)) if find(i) == i]
+    got = sorted(r["doc_id"] for r in stage("near_duplicates")(spark, docs, SF).collect())
+    assert got == expected and len(got) < len(rows)
+
+
+def test_every_stage_takes_tricky_rows_and_empty_tables(spark, tricky):
+    docs = tricky.withColumn("row", F.lit(1)).withColumn("spans", F.lit("x"))
+    for name in ("quality_rules", "near_duplicates", "suffix_array_dedup", "benchmark_decontamination"):
+        found = stage(name)(spark, docs, SF)
+        assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert name in ("quality_rules", "near_duplicates") or found.count() == docs.count()
+        assert stage(name)(spark, docs.limit(0), SF).count() == 0
+    last = stage("sentencepiece_encoding")(spark, docs, SF)
+    assert last.count() == docs.count() and last.filter("not round_trip").count() == 0
+    assert stage("sentencepiece_encoding")(spark, docs.limit(0), SF).count() == 0
+
+
+def test_clashing_columns_ride_along(spark, tricky):
+    from tagloom.llm import decontaminate, quality
+
+    docs = tricky.selectExpr("*", "'q' as _quality", "1 as spans", "2 as a", "3 as b", "4 as doc", "5 as _row")
+    benchmark = spark.createDataFrame([("i", "the same words come here again and again the same")], "item_id string, text string")
+    cut = decontaminate.decontaminated(docs, benchmark)
+    assert cut.columns == docs.columns and cut.count() == docs.count()
+    assert {r["text"].strip() for r in cut.filter("doc_id in (6, 7)").collect()} < {"", "words come here again and again"}
+    assert {tuple(r) for r in cut.select("_quality", "spans", "a", "b", "doc", "_row").collect()} == {("q", 1, 2, 3, 4, 5)}
+    kept = quality.accepted(docs)
+    assert kept.columns == docs.columns and kept.filter("_quality <> 'q'").count() == 0
