@@ -6,6 +6,8 @@ back to position 0 and mixed, so any substring costs the same few operations.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +86,15 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def give_back() -> None:
+    """Returns memory that a task no longer uses to the system, where the C library can: Spark keeps its Python workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose ``column`` has about ``limit`` bytes, or one row; Spark cuts them by rows."""
     for batch in batches:
@@ -91,6 +102,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_
         starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // limit, prepend=-1)).tolist()
         for i, j in zip(starts, [*starts[1:], len(sizes)]):
             yield batch.slice(i, j - i)
+    give_back()
 
 
 def packs(texts: list[bytes], limit: int = FLAT_BYTES) -> Iterator[tuple[int, int]]:

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.hashing import give_back
+
 SPACE = "▁"
 #: Words whose ids a task remembers.
 REMEMBERED = 1 << 17
@@ -82,11 +84,12 @@ class Model:
             elif sp.is_unknown(i):
                 self.bytes_of[i], self.unknown = " ⁇ ".encode(), i
             elif not sp.is_unused(i):
-                node = self.trie
-                for c in piece:  # a node is its children, its piece's score and id
-                    entry = node.setdefault(c, [{}, None, None])
-                    node = entry[0]
-                entry[1:] = sp.get_score(i), i
+                if not self.merges:  # only the search needs it
+                    node = self.trie
+                    for c in piece:  # a node is its children, its piece's score and id
+                        entry = node.setdefault(c, [{}, None, None])
+                        node = entry[0]
+                    entry[1:] = sp.get_score(i), i
                 if sp.get_score(i) > -1e8:
                     least = min(least, sp.get_score(i))
                 self.crosses |= bool(re.search(f"[^{SPACE}]{SPACE}", piece))
@@ -335,6 +338,7 @@ def _mapped(path: str, source: str, target: str, work) -> object:
                 values = (x.as_py() for x in batch.column(source))
                 done = pa.array([None if v is None else work(own, v) for v in values], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, done], names=[*batch.schema.names, target])
+        give_back()
 
     return over
 
