@@ -19,6 +19,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,6 @@ class Model:
         self.beside = {piece[i : i + 2] for piece in normal for i in range(len(piece) - 1)}
 
         self.processor = sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.trie: dict = {}
         self.bytes_of: list[bytes] = []
         self.byte_ids: dict[int, int] = {}
         least, self.crosses = 0.0, False
@@ -84,12 +84,6 @@ class Model:
             elif sp.is_unknown(i):
                 self.bytes_of[i], self.unknown = " ⁇ ".encode(), i
             elif not sp.is_unused(i):
-                if not self.merges:  # only the search needs it
-                    node = self.trie
-                    for c in piece:  # a node is its children, its piece's score and id
-                        entry = node.setdefault(c, [{}, None, None])
-                        node = entry[0]
-                    entry[1:] = sp.get_score(i), i
                 if sp.get_score(i) > -1e8:
                     least = min(least, sp.get_score(i))
                 self.crosses |= bool(re.search(f"[^{SPACE}]{SPACE}", piece))
@@ -97,6 +91,20 @@ class Model:
         self.known: dict[str, bytes] = {}
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
 
+    @cached_property
+    def trie(self) -> dict:
+        """Pieces by their characters, for the search; a node is its children, its piece's score and id."""
+        root: dict = {}
+        sp = self.processor
+        for i in range(sp.get_piece_size()):
+            if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+                node = root
+                for c in sp.id_to_piece(i):
+                    entry = node.setdefault(c, [{}, None, None])
+                    node = entry[0]
+                entry[1:] = sp.get_score(i), i
+        return root
+
     def fallback(self, c: str) -> list[int]:
         if self.byte_ids:
             return [self.byte_ids[b] for b in c.encode()]
