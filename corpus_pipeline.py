@@ -74,7 +74,7 @@ STAGES = [
     ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 
-#: The stages have no SQL form: tests hold them against plain versions on the rows that come before each.
+#: No SQL is given. Tests hold near_duplicates against all pairs and the last stage's round trip; the other stages through their operators.
 ORACLE_SQL = None
 
 
