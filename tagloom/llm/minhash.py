@@ -7,8 +7,10 @@ the threshold are confirmed on their full shingle sets.
 
 A bucket is never expanded into all its pairs. Its members meet one leader first; what the links
 join is one component. Where a bucket then still holds several components, the members that
-resemble the root of its largest component become that root's family, and the few others meet the
-bucket's members of other components.
+resemble the root of its largest component become that root's family. The others, strangers, meet
+the members of their buckets where they share one of their rarest shingles: a set of n has at least
+need = percent * n / 100 shingles in common with a linked one, so both hold one of all but the need - 1
+most frequent of their shared ones. A passage that many documents share brings nobody together.
 
 In a family a set is its difference D from the shingles that most members have. Two sets are linked
 exactly if E(a) + E(b) <= 2 * (100 + percent) * |D(a) & D(b)|, with E = (100 + percent) * |D| -
@@ -177,8 +179,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "nodes",
     )
     met = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = saved(met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last"), "leaders")
-    pairs = saved(met.join(leaders, "bucket").filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
+    leaders = met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last")
+    leaders = saved(leaders, "leaders")
+    shared = saved(met.join(leaders, "bucket"), "shared")
+    pairs = saved(shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
     sketches = nodes.select("node", "n_shingles", "sketch")
     tried = saved(_possible(pairs, sketches, percent), "pairs")
     links = saved(_confirmed(tried, texts, width, percent), "links")
@@ -187,7 +191,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     own = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = links.unionByName(own.select(F.col("b").alias("node"), F.col("a").alias("other")))
     labels = components(links)
-    more = saved(_rest(nodes, labels, texts, width, percent), "links")
+    more = saved(_rest(shared.select("node", "bucket"), nodes, labels, texts, width, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     found = (
@@ -228,9 +232,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return both.filter(100 * F.col("common") >= percent * union).select("node", "other").distinct()
 
 
-def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """``bucket, main``: the buckets that hold several components, and the largest of them."""
-    placed = nodes.join(labels, "node", "left").select(F.coalesce("label", "node").alias("label"), F.explode("bands").alias("bucket"))
+def _mixed(placed: DataFrame) -> DataFrame:
+    """``bucket, main``: the buckets of ``node, bucket, label`` that hold several components, and the largest of them."""
     return saved(
         placed.groupBy("bucket", "label")
         .agg(F.count("*").alias("n"))
@@ -242,25 +245,42 @@ def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _rest(nodes: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components that share a bucket."""
-    own = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    met = saved(own.select("node", "label", "n_shingles", "sketch", F.explode("bands").alias("bucket")).join(_mixed(nodes, labels), "bucket"), "open")
-    roots = met.select("main").distinct().join(nodes.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
-    seen = met.select("node", "label", "main", "sketch").distinct().join(roots, "main")
-    near = saved(seen.filter(estimate(F.col("sketch"), F.col("root")) >= FAMILY).select("node", "label", "main").distinct(), "near")
-    strangers = saved(_strangers(met, near, percent), "pairs")
-    return _confirmed(strangers, texts, width, percent).unionByName(_family_links(near, texts, width, percent)).distinct()
-
-
-def _strangers(met: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a bucket of which one at least is outside the family of the bucket's root."""
-    flagged = met.join(near.select("node", "main", F.lit(True).alias("near")), ["node", "main"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
-    here = flagged.filter("label <> main").select("bucket", "node", F.col("label").alias("label_a"), "main", F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"), "near")
-    there = flagged.select("bucket", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"), F.col("near").alias("near_b"))
-    new = (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("node") < F.col("other")))
-    meet = lambda a, b: a.join(b, "bucket").filter(new & _near(percent)).select("node", "other")
-    return meet(here.filter("not near"), there).union(meet(here.filter("near"), there.filter("not near_b"))).distinct()
+def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between different components that share a bucket of ``shared``: ``node, bucket``."""
+    placed = saved(shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
+    met = saved(placed.join(_mixed(placed), "bucket"), "open")
+    sketches = nodes.select("node", "n_shingles", "sketch")
+    roots = met.select("main").distinct().join(sketches.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
+    seen = met.select("node", "label", "main").distinct().join(sketches.select("node", "sketch"), "node").join(roots, "main")
+    seen = saved(seen.select("node", "label", "main", (estimate(F.col("sketch"), F.col("root")) >= FAMILY).alias("near")), "near")
+    strangers = saved(_possible(_strangers(met, seen, texts, width, percent), sketches, percent), "pairs")
+    family = _family_links(seen.filter("near").drop("near"), texts, width, percent)
+    return _confirmed(strangers, texts, width, percent).unionByName(family).distinct()
+
+
+def _strangers(met: DataFrame, seen: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of different components that share a rare shingle, one of them outside the family of a bucket's root.
+
+    Only shingles of several sets can be common, so a set with fewer than ``need`` of those has no link here.
+    """
+    far = seen.filter("not near").select("main", "node").distinct()
+    buckets = met.join(far, ["main", "node"], "left_semi").select("bucket").distinct()
+    inside = met.join(buckets, "bucket", "left_semi").select("node", "label").distinct()
+    flags = saved(inside.join(far.select("node", F.lit(True).alias("far")).distinct(), "node", "left").withColumn("far", F.coalesce("far", F.lit(False))), "strangers")
+    sets = texts.join(flags.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(full_sets(width), "node long, members array<long>")
+    own = ["node", "set", "n"]  # a repeated doc_id has several sets
+    parts = saved(sets.select("node", F.xxhash64("members").alias("set"), F.size("members").alias("n"), F.explode("members").alias("x")), "shingles")
+    counts = parts.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
+    parts = saved(parts.join(counts, "x"), "shingles")
+    need = F.ceil(percent * F.col("n") / 100)
+    able = parts.groupBy(*own).agg(F.count("*").alias("in_common")).filter(F.col("in_common") >= need)
+    rank = F.row_number().over(Window.partitionBy(*own).orderBy("c", "x"))
+    rare = parts.join(able, own).withColumn("rank", rank).filter(F.col("rank") <= F.col("in_common") - need + 1)
+    rare = saved(rare.join(flags, "node").select("x", "node", "n", "label", "far"), "rare")
+    there = rare.select("x", F.col("node").alias("other"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("far").alias("far_b"))
+    sizes = (100 * F.col("n") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n"))
+    new = (F.col("label") != F.col("label_b")) & (~F.col("far_b") | (F.col("node") < F.col("other")))
+    return rare.filter("far").join(there, "x").filter(new & sizes).select("node", "other").distinct()
 
 
 def _family_links(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

@@ -14,6 +14,7 @@ import public_tokenizers
 from tagloom.llm import decontaminate, html_text, minhash, pieces, preferences, quality, repeats, sequences, sharding, token_counts
 from tagloom.llm.fmindex import FMIndex
 from tagloom.llm.links import components
+from tagloom.llm.scratch import saved
 from tagloom.llm.ship import ship
 
 SF = "/root/testdata/sf0.001"
@@ -123,6 +124,43 @@ def test_groups_of_near_copies(spark, seed):
     assert len({c for _, _, c in expected}) > 5
 
 
+def licensed(copies, seed=3):
+    """Texts of their own words behind a common licence, and pairs of near copies of some, all in the licence's buckets."""
+    rng = np.random.default_rng(seed)
+    licence = [f"l{i}" for i in range(60)]
+    rows = []
+    for i in range(copies):
+        own = [f"w{i}x{k}" for k in range(73)]
+        rows.append((len(rows), " ".join(licence + own)))
+        if i % 10 == 0:
+            for at in rng.integers(0, 73, int(rng.integers(1, 6))):
+                own[at] = f"e{i}"
+            rows.append((len(rows), " ".join(licence + own)))
+    return rows
+
+
+def test_a_common_passage_brings_nobody_together(spark, monkeypatch):
+    ship(spark)
+    made = {}
+
+    def counted(frame, name):
+        made.setdefault(name, []).append(saved(frame, name))
+        return made[name][-1]
+
+    monkeypatch.setattr(minhash, "saved", counted)
+    sizes = []
+    for copies in (150, 300):
+        made.clear()
+        rows = licensed(copies)
+        found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
+        if copies == 150:
+            assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == components_by_force(rows, 4, 80)
+        groups = {r["component_id"] for r in found}
+        assert copies <= len(groups) < len(rows)
+        sizes.append(sum(table.count() for table in made["rare"] + made["pairs"]))
+    assert 0 < sizes[0] and sizes[1] < 3 * sizes[0]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "node long, other long")
     assert {r["node"]: r["label"] for r in components(links).collect()} == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
