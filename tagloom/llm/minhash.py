@@ -44,6 +44,7 @@ SLACK = 0.18
 #: Estimated similarity to a root from which a set is compared by its differences; both ways lose nothing.
 FAMILY = 0.4
 
+SETS = "node long, members array<long>"
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 
@@ -182,16 +183,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     leaders = met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last")
     leaders = saved(leaders, "leaders")
     shared = saved(met.join(leaders, "bucket"), "shared")
+    # The sets of all that share a bucket are made once, so texts are dealt out once.
+    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
+    sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), SETS), "sets")
     pairs = saved(shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
     sketches = nodes.select("node", "n_shingles", "sketch")
     tried = saved(_possible(pairs, sketches, percent), "pairs")
-    links = saved(_confirmed(tried, texts, width, percent), "links")
+    links = saved(_confirmed(tried, sets, percent), "links")
     release(docs.sparkSession)
     # A document that holds several texts (a repeated doc_id) joins their classes.
     own = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = links.unionByName(own.select(F.col("b").alias("node"), F.col("a").alias("other")))
     labels = components(links)
-    more = saved(_rest(shared.select("node", "bucket"), nodes, labels, texts, width, percent), "links")
+    more = saved(_rest(shared.select("node", "bucket"), nodes, labels, sets, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     found = (
@@ -219,10 +223,8 @@ def _near(percent: int) -> Column:
     return sizes & (estimate(F.col("s_a"), F.col("s_b")) >= percent / 100 - SLACK)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that reach the threshold on their full shingle sets."""
-    wanted = pairs.select("node").union(pairs.select("other")).distinct().withColumnRenamed("node", "doc_id")
-    sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), "node long, members array<long>"), "sets")
     both = (
         pairs.join(sets.withColumnRenamed("members", "a"), "node")
         .join(sets.select(F.col("node").alias("other"), F.col("members").alias("b")), "other")
@@ -245,7 +247,7 @@ def _mixed(placed: DataFrame) -> DataFrame:
     )
 
 
-def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components that share a bucket of ``shared``: ``node, bucket``."""
     placed = saved(shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
     met = saved(placed.join(_mixed(placed), "bucket"), "open")
@@ -253,12 +255,12 @@ def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFra
     roots = met.select("main").distinct().join(sketches.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
     seen = met.select("node", "label", "main").distinct().join(sketches.select("node", "sketch"), "node").join(roots, "main")
     seen = saved(seen.select("node", "label", "main", (estimate(F.col("sketch"), F.col("root")) >= FAMILY).alias("near")), "near")
-    strangers = saved(_possible(_strangers(met, seen, texts, width, percent), sketches, percent), "pairs")
-    family = _family_links(seen.filter("near").drop("near"), texts, width, percent)
-    return _confirmed(strangers, texts, width, percent).unionByName(family).distinct()
+    strangers = saved(_possible(_strangers(met, seen, sets, percent), sketches, percent), "pairs")
+    family = _family_links(seen.filter("near").drop("near"), sets, percent)
+    return _confirmed(strangers, sets, percent).unionByName(family).distinct()
 
 
-def _strangers(met: DataFrame, seen: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _strangers(met: DataFrame, seen: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a rare shingle, one of them outside the family of a bucket's root.
 
     Only shingles of several sets can be common, so a set with fewer than ``need`` of those has no link here.
@@ -267,8 +269,8 @@ def _strangers(met: DataFrame, seen: DataFrame, texts: DataFrame, width: int, pe
     buckets = met.join(far, ["main", "node"], "left_semi").select("bucket").distinct()
     inside = met.join(buckets, "bucket", "left_semi").select("node", "label").distinct()
     flags = saved(inside.join(far.select("node", F.lit(True).alias("far")).distinct(), "node", "left").withColumn("far", F.coalesce("far", F.lit(False))), "strangers")
-    sets = texts.join(flags.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(full_sets(width), "node long, members array<long>")
     own = ["node", "set", "n"]  # a repeated doc_id has several sets
+    sets = sets.join(flags, "node", "left_semi")
     parts = saved(sets.select("node", F.xxhash64("members").alias("set"), F.size("members").alias("n"), F.explode("members").alias("x")), "shingles")
     counts = parts.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
     parts = saved(parts.join(counts, "x"), "shingles")
@@ -283,12 +285,10 @@ def _strangers(met: DataFrame, seen: DataFrame, texts: DataFrame, width: int, pe
     return rare.filter("far").join(there, "x").filter(new & sizes).select("node", "other").distinct()
 
 
-def _family_links(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _family_links(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components inside the families ``node, label, main``."""
     several = near.groupBy("main").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("main")
     placed = saved(near.join(several, "main"), "families")
-    wanted = placed.select("node").union(placed.select("main")).distinct().withColumnRenamed("node", "doc_id")
-    sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), "node long, members array<long>"), "sets")
     roots = placed.select("main").distinct().join(sets.withColumnRenamed("node", "main"), "main").groupBy("main").agg(F.min("members").alias("root"))
     apart = saved(
         placed.join(sets, "node").join(roots, "main").select("node", "label", "main", F.size("members").cast("long").alias("n"), _difference("members", "root").alias("apart")),

@@ -118,7 +118,7 @@ def test_groups_of_near_copies(spark, seed):
     found = minhash.near_duplicates(frame, width=4).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == expected
     near = frame.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label"), F.lit(7).cast("long").alias("main"))
-    links = minhash._family_links(near, frame, 4, 80)
+    links = minhash._family_links(near, frame.mapInArrow(minhash.full_sets(4), minhash.SETS), 80)
     labels = {r["node"]: r["label"] for r in components(links).collect()}
     assert [(i, labels.get(i, i)) for i, _ in rows] == [(i, c) for i, _, c in expected]
     assert len({c for _, _, c in expected}) > 5
