@@ -58,24 +58,28 @@ def _strings(tokens) -> pa.Array:
     return pa.array(tokens, pa.binary()).cast(pa.string())
 
 
-def _common(counts: Counter) -> pa.RecordBatch:
+def _common(counts: Counter, most: int) -> pa.RecordBatch:
     total = sum(counts.values())
-    found = {w: n for w, n in counts.items() if n * FREQUENT > total}
+    found = {w: n for w, n in counts.items() if n * most > total}
     return pa.record_batch({"name": _strings([TOTAL.encode(), *found]), "n": pa.array([total, *found.values()], pa.int64())})
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tally(most: int):
     """Names with more than their share of a stretch of the task's texts."""
-    counts: Counter = Counter()
-    for batch in by_bytes(batches, "data"):
-        for data in batch.column("data"):
-            for words in _words(data.as_py()):
-                counts.update(words)
-                if len(counts) > HELD:
-                    yield _common(counts)
-                    counts.clear()
-    if counts:
-        yield _common(counts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        for batch in by_bytes(batches, "data"):
+            for data in batch.column("data"):
+                for words in _words(data.as_py()):
+                    counts.update(words)
+                    if len(counts) > HELD:
+                        yield _common(counts, most)
+                        counts.clear()
+        if counts:
+            yield _common(counts, most)
+
+    return work
 
 
 def _piece_counts(path: str, names: list[str]) -> list[int]:
@@ -91,12 +95,12 @@ def _known(path: str):
     return work
 
 
-def frequent_pieces(docs: DataFrame, path: str) -> dict[bytes, int]:
-    """Piece counts of the frequent pre-tokens of ``docs``: at most 2**20 keys of at most 48 bytes."""
+def frequent_pieces(docs: DataFrame, path: str, most: int = FREQUENT) -> dict[bytes, int]:
+    """Piece counts of the frequent pre-tokens of ``docs``: at most ``most`` keys of at most 48 bytes."""
     texts = docs.filter("text is not null").select(F.col("text").cast("binary").alias("data"))
-    tallied = saved(texts.mapInArrow(_tally, "name string, n long").groupBy("name").agg(F.sum("n").alias("n")), "tallied")
+    tallied = saved(texts.mapInArrow(_tally(most), "name string, n long").groupBy("name").agg(F.sum("n").alias("n")), "tallied")
     total = tallied.filter(F.col("name") == TOTAL).agg(F.sum("n")).first()[0] or 0
-    frequent = tallied.filter((F.col("name") != TOTAL) & (F.col("n") * FREQUENT > total)).select("name")
+    frequent = tallied.filter((F.col("name") != TOTAL) & (F.col("n") * most > total)).select("name")
     known = frequent.mapInArrow(_known(path), "key binary, pieces long").toArrow()
     discard(tallied)
     return dict(zip(known.column("key").to_pylist(), known.column("pieces").to_pylist()))
@@ -154,8 +158,8 @@ def _multiplied(path: str):
         for batch in by_bytes(batches, "name"):
             coded = batch.column("name").dictionary_encode()
             names = coded.dictionary.to_pylist()
-            new = names[1:] if last and names and names[0] == last[0] else names
-            pieces = [last[1]] * (len(names) - len(new)) + _piece_counts(path, new)
+            carried = [last[1]] if last and names[:1] == [last[0]] else []
+            pieces = carried + _piece_counts(path, names[len(carried) :])
             if names:
                 last = names[-1], pieces[-1]
             each = pa.array(pieces, pa.int64()).take(coded.indices)
@@ -164,14 +168,14 @@ def _multiplied(path: str):
     return work
 
 
-def token_counts(docs: DataFrame, path: str) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, most: int = FREQUENT) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` for every row of ``docs``.
 
     Null, empty and blank texts have no tokens. Rows are counted one by one, so repeated rows and doc_ids do
-    no harm. An empty table gives an empty result. Further columns are ignored.
+    no harm. An empty table gives an empty result. Further columns are ignored. At most ``most`` pre-tokens are broadcast.
     """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(frequent_pieces(docs, path))
+    known = spark.sparkContext.broadcast(frequent_pieces(docs, path, most))
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("data"))
     split = texts.mapInArrow(_split(known), f"doc_id {kind}, n_bytes long, known long, names array<string>, counts array<long>")

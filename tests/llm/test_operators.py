@@ -224,8 +224,10 @@ def test_token_counts_and_sequences(spark, documents, tricky, tmp_path):
     tokenizer = Tokenizer.from_file(WORD_BPE)
     frame = documents.select("doc_id", "text").unionByName(tricky.select((F.col("doc_id") + 10**6).alias("doc_id"), "text").filter("doc_id is not null"))
     ids = sorted((i, len(t.encode()), tokenizer.encode(t, add_special_tokens=False).ids) for i, t in texts(frame))
-    counted = token_counts.token_counts(frame, WORD_BPE).collect()
-    assert sorted((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in counted) == [(i, n, len(x)) for i, n, x in ids]
+    for most in (token_counts.FREQUENT, 50, 1):
+        counted = token_counts.token_counts(frame, WORD_BPE, most).collect()
+        assert sorted((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in counted) == [(i, n, len(x)) for i, n, x in ids]
+        assert len(token_counts.frequent_pieces(frame, WORD_BPE, most)) <= most
     manifest = sequences.write_sequences(frame, WORD_BPE, f"file://{tmp_path}/out", length=256)
     got = sequences.read_sequences(manifest).orderBy("start").collect()
     start, expected = 0, []
@@ -483,3 +485,20 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and rows.filter("not round_trip").count() == 0
     assert rows.select("doc_id").distinct().count() == rows.count()
+
+
+def test_pretokens_of_long_texts_and_names(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    long = b" ".join(bytes(rng.integers(97, 100, n).tolist()) for n in rng.integers(1, 40, 2000))
+    monkeypatch.setattr(token_counts, "STRETCH", 64)
+    assert [w for words in token_counts._words(long) for w in words] == long.split()
+    assert list(token_counts._words(b"")) == [[]]
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    rows = [(i, f"{'hot' * 40} {'x' * i}é {'cold' * (20 + i)}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    for most in (token_counts.FREQUENT, 4):
+        counted = token_counts.token_counts(frame, WORD_BPE, most)
+        assert counted.schema["doc_id"].dataType.simpleString() == "int"
+        assert sorted((r["doc_id"], r["n_tokens"]) for r in counted.collect()) == [(i, len(tokenizer.encode(t, add_special_tokens=False).ids)) for i, t in rows]
