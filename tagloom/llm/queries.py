@@ -118,6 +118,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op8_minhash": r"""
+        with recursive texts as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') as words
+            from documents
+        ), shingles as (
+            select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 4 then [array_to_string(words, ' ')]
+                else list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) end) as shingle
+            from texts
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), links as (
+            select a.doc_id as x, b.doc_id as y
+            from shingles a join shingles b using (shingle) join sizes m on m.doc_id = a.doc_id join sizes n on n.doc_id = b.doc_id
+            where a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id, m.n, n.n having 100 * count(*) >= 80 * (m.n + n.n - count(*))
+        ), reached as (
+            select doc_id, doc_id as other from documents
+            union select r.doc_id, l.y from reached r join links l on l.x = r.other
+        ), components as (
+            select doc_id, min(other) as component_id from reached group by doc_id
+        )
+        select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+        from components left join sizes using (doc_id)""",
+    "op10_decontamination": r"""
+        with texts as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from documents
+        ), items as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from benchmark
+        ), windows as (
+            select distinct item_id, least(len(words), 10) as n,
+                   unnest(list_transform(range(1, len(words) - least(len(words), 10) + 2),
+                                         lambda i: array_to_string(words[i:i + least(len(words), 10) - 1], ' '))) as phrase
+            from items where len(words) > 0
+        ), places as (
+            select doc_id, n, unnest(range(1, len(words) - n + 2)) as pos, words from texts, (select distinct n from windows) where len(words) >= n
+        ), found as (
+            select doc_id, n, pos, item_id from places join windows using (n) where array_to_string(words[pos:pos + n - 1], ' ') = phrase
+        ), covered as (
+            select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(pos, pos + n)) as word from found) group by doc_id
+        ), held as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+            from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+        )
+        select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from texts left join covered using (doc_id) left join held using (doc_id)""",
     "op12_hard_negatives": """
         with vectors as (
             select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
