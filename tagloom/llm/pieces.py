@@ -20,6 +20,8 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from tagloom.llm.hashing import give_back
 
 SPACE = "▁"
-#: Words whose ids a task remembers.
-REMEMBERED = 1 << 17
+#: Words, and stretches of words, whose ids a task remembers, and once more as many from before.
+REMEMBERED = 1 << 16
 #: Longer words are not remembered, so that the bytes of all are bounded.
 WORD_CHARS = 64
 #: Bytes of input after which a task hands out its rows; a longer text goes alone.
@@ -89,6 +91,9 @@ class Model:
                 self.crosses |= bool(re.search(f"[^{SPACE}]{SPACE}", piece))
         self.penalty = least - UNKNOWN
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.DOTALL)
 
     @cached_property
@@ -202,24 +207,20 @@ class Model:
             n = begin[n]
         return out[::-1]
 
-    def _stretches(self, text: str) -> Iterator[str]:
+    def _stretches(self, text: str) -> list[str]:
         """Parts of the text that no merge crosses."""
-        beside, begin = self.beside, 0
-        for i in range(1, len(text)):
-            if text[i - 1 : i + 1] not in beside:
-                yield text[begin:i]
-                begin = i
+        inside = list(map(self.beside.__contains__, map(add, text, text[1:])))
+        out, begin = [], 0
+        for _ in range(inside.count(False)):
+            end = inside.index(False, begin) + 1
+            out.append(text[begin:end])
+            begin = end
         if text:
-            yield text[begin:]
+            out.append(text[begin:])
+        return out
 
     def merged(self, text: str) -> list[int]:
         """Ids of the text by the model's merges: the best score first, of equal ones the leftmost."""
-        if len(text) <= SHORT and not self.given and not self.unused:
-            symbols = self._merged_short(text, {})
-            try:
-                return [self.id_of[x] for x in symbols]
-            except KeyError:
-                return [i for x in symbols for i in ([self.id_of[x]] if x in self.id_of else self.fallback(x))]
         out: list[int] = []
         for k, part in enumerate(self.given.split(text) if self.given else [text]):
             if k % 2:  # a user's piece is whole from the start
@@ -242,7 +243,7 @@ class Model:
     def _merged_short(self, text: str, own: dict) -> list[str]:
         score, none, unused = self.score_of.get, NEVER, self.unused
         symbols = list(text)
-        scores = [score(text[i : i + 2], none) for i in range(len(text) - 1)]
+        scores = list(map(score, map(add, text, text[1:]), repeat(none)))
         while scores:
             best = max(scores)
             if best == none:
@@ -284,7 +285,29 @@ class Model:
                         heapq.heappush(heap, (-score_of[pair], x, y, len(pair)))
         return [x for x in symbols if x]
 
+    def _remembered(self, text: str) -> bytes:
+        """``_packed`` of a word from the ids of its stretches, of which many words are made."""
+        if len(self.parts) > REMEMBERED:
+            self.parts_before, self.parts = self.parts, {}
+        parts, out = self.parts, []
+        for stretch in self._stretches(text):
+            packed = parts.get(stretch)
+            if packed is None:
+                packed = parts[stretch] = self.parts_before.get(stretch) or self._short(stretch)
+            out.append(packed)
+        return b"".join(out)
+
+    def _short(self, stretch: str) -> bytes:
+        symbols = self._merged_short(stretch, {})
+        try:
+            ids = [self.id_of[x] for x in symbols]
+        except KeyError:
+            ids = [i for x in symbols for i in ([self.id_of[x]] if x in self.id_of else self.fallback(x))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _packed(self, text: str) -> bytes:
+        if self.merges and len(text) <= SHORT and not self.given and not self.unused:
+            return self._remembered(text)
         if self.merges:
             ids = self.merged(text)
             return struct.pack(f"<{len(ids)}I", *ids)
@@ -306,7 +329,7 @@ class Model:
         if self.crosses:
             return self._packed(text)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.before, self.known = self.known, {}
         if text[:1] == SPACE and SPACE * 2 not in text and text[-1:] != SPACE:
             words, head = text[1:].split(SPACE), SPACE
         else:
@@ -315,7 +338,7 @@ class Model:
         if head:
             long = {}
             for word in set(words).difference(known):
-                (known if len(word) <= WORD_CHARS else long)[word] = self._packed(head + word)
+                (known if len(word) <= WORD_CHARS else long)[word] = self.before.get(word) or self._packed(head + word)
             if long:
                 return b"".join([long[w] if len(w) > WORD_CHARS else known[w] for w in words])
             return b"".join(map(known.__getitem__, words))

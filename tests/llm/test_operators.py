@@ -330,6 +330,27 @@ def test_pieces_of_other_models(tmp_path, kind, bytes_too):
         assert np.frombuffer(own.encode(text), dtype="<u4").tolist() == own.processor.encode(text), text
 
 
+def test_words_are_merged_once_a_stretch(monkeypatch):
+    """New words of known stretches, and words from before the memory was full, take no merges again."""
+    encoder = pieces.Model(PIECE_BPE)
+    syllables = [a + b for a in ("qu", "zh", "schl") for b in ("éa", "ùo", "ïe", "öu")]
+    words = [a + b + c for a in syllables for b in syllables for c in syllables]
+    merged = []
+    short = encoder._merged_short
+    encoder._merged_short = lambda text, own: merged.append(text) or short(text, own)
+    for i in range(0, len(words), 50):
+        text = " ".join(words[i : i + 50])
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == encoder.processor.encode(text)
+    assert 0 < len(merged) < len(words) / 2
+    monkeypatch.setattr(pieces, "REMEMBERED", 30)
+    encoder.known, encoder.before, encoder.parts, encoder.parts_before = {}, {}, {}, {}
+    for i in range(40):
+        del merged[:]
+        text = "hot words stay " + " ".join(f"n{i}x{k}" for k in range(20))
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == encoder.processor.encode(text)
+        assert i == 0 or not {"▁hot", "▁words", "▁stay"} & set(merged)
+
+
 def test_streaming_search_equals_the_whole_table():
     model = pieces.Model(PIECE_BPE)
     sp = model.processor
