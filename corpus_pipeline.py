@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tagloom.llm import decontaminate, minhash, pieces, quality, repeats
+from tagloom.llm import decontaminate, minhash, pieces, quality, repeats, sieve
 from tagloom.llm.scratch import saved
 from tagloom.llm.ship import ship
 
@@ -38,8 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
     rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")
     first = groups.join(rows.select("row", "doc_id"), "row").groupBy("group").agg(F.min(rank).alias("first"))
-    kept = saved(first.select("first.row"), "near")
-    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
+    lost = saved(groups.select("row").join(first.select("first.row"), "row", "left_anti"), "near")
+    # Only texts that the bitmap can't tell from lost ones are dealt out for the join.
+    told = sieve.marked(rows, "row", lost)
+    stay = told.filter("not maybe").unionByName(told.filter("maybe").join(lost, "row", "left_anti"))
+    return stay.select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import discard, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -34,7 +34,9 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         after = saved(small, "edges")
-        if _sum(after) == _sum(edges):
+        still = _sum(after) == _sum(edges)
+        discard(edges, least, large, smallest)
+        if still:
             return after.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("label")).union(
                 after.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
             )

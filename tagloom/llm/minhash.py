@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import by_bytes, mixed, packs, word_bounds, word_hashes
 from tagloom.llm.links import components
-from tagloom.llm.scratch import release, saved
+from tagloom.llm.scratch import discard, release, saved
 
 BANDS, ROWS, BITS = 32, 4, 4
 MINIMA = BANDS * ROWS
@@ -183,9 +183,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     leaders = met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last")
     leaders = saved(leaders, "leaders")
     shared = saved(met.join(leaders, "bucket"), "shared")
+    discard(leaders, classes)
     # The sets of all that share a bucket are made once, so texts are dealt out once.
     wanted = shared.select(F.col("node").alias("doc_id")).distinct()
     sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), SETS), "sets")
+    release(docs.sparkSession)
     pairs = saved(shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
     sketches = nodes.select("node", "n_shingles", "sketch")
     tried = saved(_possible(pairs, sketches, percent), "pairs")
@@ -203,12 +205,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .groupBy("doc_id")
         .agg(F.min(F.coalesce("label", "node")).alias("component_id"))
     )
-    return (
-        signed.select("doc_id", "n_shingles")
-        .join(found, "doc_id", "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    told = signed.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+    told = saved(told.withColumn("component_id", F.coalesce("component_id", "doc_id")), "told")
+    discard(signed, members, nodes, shared, sets)
+    release(docs.sparkSession)
+    return told.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -250,7 +251,9 @@ def _mixed(placed: DataFrame) -> DataFrame:
 def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components that share a bucket of ``shared``: ``node, bucket``."""
     placed = saved(shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
-    met = saved(placed.join(_mixed(placed), "bucket"), "open")
+    mixed_buckets = _mixed(placed)
+    met = saved(placed.join(mixed_buckets, "bucket"), "open")
+    discard(placed, mixed_buckets)
     sketches = nodes.select("node", "n_shingles", "sketch")
     roots = met.select("main").distinct().join(sketches.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
     seen = met.select("node", "label", "main").distinct().join(sketches.select("node", "sketch"), "node").join(roots, "main")
@@ -269,20 +272,26 @@ def _strangers(met: DataFrame, seen: DataFrame, sets: DataFrame, percent: int) -
     buckets = met.join(far, ["main", "node"], "left_semi").select("bucket").distinct()
     inside = met.join(buckets, "bucket", "left_semi").select("node", "label").distinct()
     flags = saved(inside.join(far.select("node", F.lit(True).alias("far")).distinct(), "node", "left").withColumn("far", F.coalesce("far", F.lit(False))), "strangers")
-    own = ["node", "set", "n"]  # a repeated doc_id has several sets
     sets = sets.join(flags, "node", "left_semi")
-    parts = saved(sets.select("node", F.xxhash64("members").alias("set"), F.size("members").alias("n"), F.explode("members").alias("x")), "shingles")
-    counts = parts.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
-    parts = saved(parts.join(counts, "x"), "shingles")
+    shingles = saved(sets.select("node", F.xxhash64("members").alias("set"), F.size("members").alias("n"), F.explode("members").alias("x")), "shingles")
+    counts = shingles.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
+    parts = saved(shingles.join(counts, "x"), "shingles")
+    discard(shingles)
     need = F.ceil(percent * F.col("n") / 100)
-    able = parts.groupBy(*own).agg(F.count("*").alias("in_common")).filter(F.col("in_common") >= need)
-    rank = F.row_number().over(Window.partitionBy(*own).orderBy("c", "x"))
-    rare = parts.join(able, own).withColumn("rank", rank).filter(F.col("rank") <= F.col("in_common") - need + 1)
-    rare = saved(rare.join(flags, "node").select("x", "node", "n", "label", "far"), "rare")
-    there = rare.select("x", F.col("node").alias("other"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("far").alias("far_b"))
+    own = Window.partitionBy("node", "set", "n")  # a repeated doc_id has several sets
+    rank, in_common = F.row_number().over(own.orderBy("c", "x")), F.count("*").over(own)
+    ranked = parts.withColumns({"left": in_common - rank, "in_common": in_common})
+    rare = ranked.filter((F.col("in_common") >= need) & (F.col("left") + 1 >= need))
+    rare = saved(rare.join(flags, "node").select("x", "node", "n", "left", "label", "far"), "rare")
+    discard(parts, flags)
+    there = rare.select(
+        "x", F.col("node").alias("other"), F.col("n").alias("n_b"), F.col("left").alias("left_b"), F.col("label").alias("label_b"), F.col("far").alias("far_b")
+    )
+    # From the rarest shingle of a linked pair on, both sets hold all that they have in common.
+    enough = (100 + percent) * (F.least("left", "left_b") + 1) >= percent * (F.col("n") + F.col("n_b"))
     sizes = (100 * F.col("n") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n"))
     new = (F.col("label") != F.col("label_b")) & (~F.col("far_b") | (F.col("node") < F.col("other")))
-    return rare.filter("far").join(there, "x").filter(new & sizes).select("node", "other").distinct()
+    return rare.filter("far").join(there, "x").filter(new & sizes & enough).select("node", "other").distinct()
 
 
 def _family_links(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -301,6 +310,8 @@ def _family_links(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = apart.join(most, "main", "left").select("node", "label", "main", "n", delta.alias("delta"))
     excess = (100 + percent) * F.size("delta") - (100 - percent) * F.col("n")
     own = saved(own.select("node", "label", "main", "delta", excess.alias("excess")), "deltas")
+    discard(apart, placed)
+    release(near.sparkSession)
     return _by_centre(own, percent).unionByName(_by_difference(own, percent))
 
 

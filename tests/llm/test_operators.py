@@ -5,16 +5,17 @@ import hashlib
 import html
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tagloom.llm import decontaminate, html_text, minhash, pieces, preferences, quality, repeats, sequences, sharding, token_counts
+from tagloom.llm import decontaminate, html_text, minhash, pieces, preferences, quality, repeats, sequences, sharding, sieve, token_counts
 from tagloom.llm.fmindex import FMIndex
 from tagloom.llm.links import components
-from tagloom.llm.scratch import saved
+from tagloom.llm.scratch import saved, shared_folder
 from tagloom.llm.ship import ship
 
 SF = "/root/testdata/sf0.001"
@@ -161,6 +162,55 @@ def test_a_common_passage_brings_nobody_together(spark, monkeypatch):
     assert 0 < sizes[0] and sizes[1] < 3 * sizes[0]
 
 
+def test_strangers_meet_the_members_they_may_be_linked_with(spark):
+    """Sets of one group with too little in common make no pairs, though they share their rarest shingles."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        copy = list(base)
+        for at in rng.integers(0, 150, 12):
+            copy[at] = f"e{rng.integers(0, 400)}"
+        rows.append((2 * i, " ".join(copy)))
+        if i % 10 == 0:
+            copy[int(rng.integers(0, 150))] = "x"
+            rows.append((2 * i + 1, " ".join(copy)))
+    ship(spark)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = frame.mapInArrow(minhash.full_sets(4), minhash.SETS)
+    alone = [F.col("doc_id").alias("node"), F.col("doc_id").alias("label"), F.lit(7).cast("long").alias("main")]
+    met = frame.select(*alone, F.lit(1).cast("long").alias("bucket"))
+    seen = frame.select(*alone, (F.col("doc_id") % 3 > 0).alias("near"))
+    pairs = {frozenset(r) for r in minhash._strangers(met, seen, sets, 80).collect()}
+    shingles = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in rows)}
+    far = [frozenset((a, b)) for a in shingles for b in shingles if a < b and 0 in (a % 3, b % 3)]
+    linked = {p for p in far for a, b in [p] if 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
+    assert linked and linked <= pairs
+    assert len(pairs) < len(far) / 5
+
+
+def test_intermediate_tables_go(spark, documents):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("*"))
+    got = minhash.near_duplicates(documents, width=4)
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before}
+    assert "told" in left and not left & {"signatures", "sets", "classes", "nodes", "leaders", "shared", "shingles", "apart"}
+    assert got.count() == documents.count()
+
+
+@pytest.mark.parametrize("most", [sieve.MOST, sieve.ROW])
+def test_sieve(spark, monkeypatch, most):
+    monkeypatch.setattr(sieve, "MOST", most)
+    rows = spark.range(0, 20000).select(F.col("id").alias("row"), F.lit("t").alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(None, "t")], "row long, text string"))
+    keys = spark.range(0, 20000, 7).select(F.col("id").alias("row"))
+    found = sieve.marked(rows, "row", keys)
+    assert found.columns == ["row", "text", "maybe"] and found.count() == 20001
+    hits = {r["row"] for r in found.filter("maybe").collect()}
+    assert set(range(0, 20000, 7)) <= hits and len(hits) < 5500
+    assert sieve.marked(rows, "row", keys.limit(0)).filter("maybe").count() == 0
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7)], "node long, other long")
     assert {r["node"]: r["label"] for r in components(links).collect()} == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
