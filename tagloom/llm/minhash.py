@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.hashing import by_bytes, mixed, packs, word_bounds, word_hashes
-from tagloom.llm.links import components
+from tagloom.llm.links import anew, components
 from tagloom.llm.scratch import discard, release, saved
 
 BANDS, ROWS, BITS = 32, 4, 4
@@ -171,24 +171,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     signed = saved(texts.mapInArrow(signatures(width), SIGNATURE), "signatures")
     linked = signed.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "set_a", "set_b"]
-    classes = saved(linked.groupBy(same).agg(F.min("doc_id").alias("node")), "sets")
-    members = saved(linked.select("doc_id", *same).join(classes, same).select("doc_id", "node"), "classes")
-    nodes = saved(
-        linked.join(classes.withColumn("doc_id", F.col("node")), [*same, "doc_id"])
-        .dropDuplicates(["node", *same])
-        .select("node", "n_shingles", "bands", "sketch"),
-        "nodes",
-    )
+    # Bands and sketch follow from the set, so those of any member are the class's.
+    nodes = saved(linked.groupBy(same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+    members = saved(linked.select("doc_id", *same).join(nodes.select("node", *same), same).select("doc_id", "node"), "classes")
     met = nodes.select("node", F.explode("bands").alias("bucket"))
     leaders = met.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last").drop("last")
-    leaders = saved(leaders, "leaders")
-    shared = saved(met.join(leaders, "bucket"), "shared")
-    discard(leaders, classes)
+    shared = saved(met.join(anew(leaders, "bucket"), "bucket"), "shared")
     # The sets of all that share a bucket are made once, so texts are dealt out once.
     wanted = shared.select(F.col("node").alias("doc_id")).distinct()
     sets = saved(texts.join(wanted, "doc_id", "left_semi").mapInArrow(full_sets(width), SETS), "sets")
     release(docs.sparkSession)
-    pairs = saved(shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct(), "pairs")
+    pairs = shared.filter("node <> leader").select("node", F.col("leader").alias("other")).distinct()
     sketches = nodes.select("node", "n_shingles", "sketch")
     tried = saved(_possible(pairs, sketches, percent), "pairs")
     links = saved(_confirmed(tried, sets, percent), "links")
@@ -237,23 +230,16 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _mixed(placed: DataFrame) -> DataFrame:
     """``bucket, main``: the buckets of ``node, bucket, label`` that hold several components, and the largest of them."""
-    return saved(
-        placed.groupBy("bucket", "label")
-        .agg(F.count("*").alias("n"))
-        .groupBy("bucket")
-        .agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .select("bucket", F.col("top.label").alias("main")),
-        "mixed",
-    )
+    parts = placed.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket")
+    tops = parts.agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts"))
+    return tops.filter("parts > 1").select("bucket", F.col("top.label").alias("main"))
 
 
 def _rest(shared: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components that share a bucket of ``shared``: ``node, bucket``."""
     placed = saved(shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
-    mixed_buckets = _mixed(placed)
-    met = saved(placed.join(mixed_buckets, "bucket"), "open")
-    discard(placed, mixed_buckets)
+    met = saved(placed.join(anew(_mixed(placed), "bucket"), "bucket"), "open")
+    discard(placed)
     sketches = nodes.select("node", "n_shingles", "sketch")
     roots = met.select("main").distinct().join(sketches.select(F.col("node").alias("main"), F.col("sketch").alias("root")), "main")
     seen = met.select("node", "label", "main").distinct().join(sketches.select("node", "sketch"), "node").join(roots, "main")
@@ -275,15 +261,14 @@ def _strangers(met: DataFrame, seen: DataFrame, sets: DataFrame, percent: int) -
     sets = sets.join(flags, "node", "left_semi")
     shingles = saved(sets.select("node", F.xxhash64("members").alias("set"), F.size("members").alias("n"), F.explode("members").alias("x")), "shingles")
     counts = shingles.groupBy("x").agg(F.count("*").alias("c")).filter("c > 1")
-    parts = saved(shingles.join(counts, "x"), "shingles")
-    discard(shingles)
+    parts = shingles.join(counts, "x")
     need = F.ceil(percent * F.col("n") / 100)
     own = Window.partitionBy("node", "set", "n")  # a repeated doc_id has several sets
     rank, in_common = F.row_number().over(own.orderBy("c", "x")), F.count("*").over(own)
     ranked = parts.withColumns({"left": in_common - rank, "in_common": in_common})
     rare = ranked.filter((F.col("in_common") >= need) & (F.col("left") + 1 >= need))
     rare = saved(rare.join(flags, "node").select("x", "node", "n", "left", "label", "far"), "rare")
-    discard(parts, flags)
+    discard(shingles, flags)
     there = rare.select(
         "x", F.col("node").alias("other"), F.col("n").alias("n_b"), F.col("left").alias("left_b"), F.col("label").alias("label_b"), F.col("far").alias("far_b")
     )
@@ -351,10 +336,21 @@ def _by_difference(own: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy(*set_).orderBy("c", "x")
     parts = parts.join(counts, ["main", "x"]).withColumn("rank", F.row_number().over(order))
     parts = parts.withColumn("shared", F.count("*").over(Window.partitionBy(*set_))).filter("rank <= shared - need + 1")
-    parts = saved(parts.select("main", "x", "node", "label", "excess", "shared"), "differences")
-    other = parts.select("main", "x", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("excess").alias("excess_b"), F.col("shared").alias("shared_b"))
-    both = F.col("excess") + F.col("excess_b")
-    new = (F.col("node") < F.col("other")) & (F.col("label") != F.col("label_b")) & (both > 0) & (both <= steps * F.least("shared", "shared_b"))
-    pairs = saved(parts.join(other, ["main", "x"]).filter(new).select("main", "node", "other").distinct(), "pairs")
+    parts = parts.withColumn("left", F.col("shared") - F.col("rank"))
+    parts = saved(parts.select("main", "x", "node", "label", "excess", "left"), "differences")
+    pairs = _sharing(parts, percent)
     there = own.select("main", F.col("node").alias("other"), F.col("excess").alias("excess_b"), F.col("delta").alias("delta_b"))
     return pairs.join(own.select("main", "node", "excess", "delta"), ["main", "node"]).join(there, ["main", "other"]).filter(_linked(percent)).select("node", "other").distinct()
+
+
+def _sharing(parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``main, node, other`` that meet in a difference ``x`` of ``parts`` and can have enough in common.
+
+    ``left`` counts the differences that a set has after this one. From the rarest difference of a linked pair
+    on, both hold all that they have in common.
+    """
+    other = parts.select("main", "x", F.col("node").alias("other"), F.col("label").alias("label_b"), F.col("excess").alias("excess_b"), F.col("left").alias("left_b"))
+    both = F.col("excess") + F.col("excess_b")
+    enough = both <= 2 * (100 + percent) * (F.least("left", "left_b") + 1)
+    new = (F.col("node") < F.col("other")) & (F.col("label") != F.col("label_b")) & (both > 0) & enough
+    return parts.join(other, ["main", "x"]).filter(new).select("main", "node", "other").distinct()

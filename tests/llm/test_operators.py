@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tagloom.llm import decontaminate, html_text, minhash, pieces, preferences, quality, repeats, sequences, sharding, sieve, token_counts
+from tagloom.llm import decontaminate, html_text, links, minhash, pieces, preferences, quality, repeats, sequences, sharding, sieve, token_counts
 from tagloom.llm.fmindex import FMIndex
 from tagloom.llm.links import components
 from tagloom.llm.scratch import saved, shared_folder
@@ -125,6 +125,26 @@ def test_groups_of_near_copies(spark, seed):
     assert len({c for _, _, c in expected}) > 5
 
 
+def test_differences_bring_together_only_pairs_that_can_have_enough_in_common(spark):
+    """All hold a and b; both pairs of sets need two differences, and 1 and 3 have one only from b on."""
+    columns = "main long, x long, node long, label long, excess long, left long"
+    rows = [(7, 10, 1, 1, 200, 1), (7, 11, 1, 1, 200, 0), (7, 10, 2, 2, 200, 1), (7, 11, 2, 2, 200, 0), (7, 11, 3, 3, 200, 4)]
+    parts = spark.createDataFrame(rows, columns)
+    assert sorted(minhash._sharing(parts, 80).collect()) == [(7, 1, 2)]
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that already hang on their smallest node are saved once; a chain of them still becomes one component."""
+    names = []
+    monkeypatch.setattr(links, "saved", lambda frame, name: names.append(name) or saved(frame, name))
+    stars = spark.createDataFrame([(k, k % 5) for k in range(5, 60)] + [(4, 4)], "node long, other long")
+    assert {r["node"]: r["label"] for r in components(stars).collect()} == {k: k % 5 for k in range(60)}
+    assert len(names) == 1
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(50, 49)], "node long, other long")
+    assert {r["node"]: r["label"] for r in components(chain).collect()} == {k: 0 for k in range(41)} | {49: 49, 50: 49}
+    assert len(names) < 10
+
+
 def licensed(copies, seed=3):
     """Texts of their own words behind a common licence, and pairs of near copies of some, all in the licence's buckets."""
     rng = np.random.default_rng(seed)
