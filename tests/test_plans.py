@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from conftest import SAMPLE_DIR, collected
 from tagloom import Settings
+from tagloom.operators import restaurants as restaurants_module
 from tagloom.operators import services
 from tagloom.plans.metrics import METRICS
 from tagloom.plans.profiles import PROFILES, order_tags
@@ -262,3 +263,14 @@ def test_profile_shares_the_shuffle_of_the_orders(spark, conf):
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
     )
     assert "ReusedExchange" in run_plan_of(queries()["profile_user_tags"](spark, SAMPLE_DIR))
+
+
+@pytest.mark.parametrize("limit, shuffled", [("1MB", False), ("-1", True)])
+def test_restaurants_are_broadcast_by_measured_size(spark, conf, limit, shuffled):
+    """Catalyst's estimate of a table that is a join is the product of both sides, far above the limit."""
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    tables = sample_tables(spark, SAMPLE_DIR)
+    wide = spark.range(1).withColumn("pad", F.repeat(F.lit("x"), 9)).distinct()
+    restaurants = tables("itd_restaurant").crossJoin(wide).drop("id", "pad")
+    lines = restaurants_module.order_lines(lambda t: restaurants if t == "itd_restaurant" else tables(t), "cprice")
+    assert bool(re.search(r"hashpartitioning\(item_code#", plan_of(lines))) == shuffled
